@@ -5,6 +5,8 @@ from __future__ import annotations
 from millrace.llm.bpe import op9_bpe
 from millrace.llm.media import op3_media
 from millrace.llm.packing import op8_packing
+from millrace.llm.quality import OP4_SQL, op4_quality
+from millrace.llm.urls import OP6_SQL, op6_url_filters
 from millrace.llm.wavelet import op2_wavelet_tokens
 
 
@@ -12,10 +14,12 @@ def queries() -> dict:
     return {
         "op2_wavelet_tokens": op2_wavelet_tokens,
         "op3_media": op3_media,
+        "op4_quality": op4_quality,
+        "op6_url_filters": op6_url_filters,
         "op8_packing": op8_packing,
         "op9_bpe": op9_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_quality": OP4_SQL, "op6_url_filters": OP6_SQL}
