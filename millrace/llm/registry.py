@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from millrace.llm.bpe import op9_bpe
+from millrace.llm.licences import op1_licences
 from millrace.llm.media import op3_media
 from millrace.llm.packing import op8_packing
 from millrace.llm.quality import OP4_SQL, op4_quality
@@ -12,6 +13,7 @@ from millrace.llm.wavelet import op2_wavelet_tokens
 
 def queries() -> dict:
     return {
+        "op1_licences": op1_licences,
         "op2_wavelet_tokens": op2_wavelet_tokens,
         "op3_media": op3_media,
         "op4_quality": op4_quality,
