@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from millrace.llm.bpe import op9_bpe
+from millrace.llm.jaccard import op7_ngram_jaccard
 from millrace.llm.licences import op1_licences
 from millrace.llm.media import op3_media
 from millrace.llm.packing import op8_packing
@@ -18,6 +19,7 @@ def queries() -> dict:
         "op3_media": op3_media,
         "op4_quality": op4_quality,
         "op6_url_filters": op6_url_filters,
+        "op7_ngram_jaccard": op7_ngram_jaccard,
         "op8_packing": op8_packing,
         "op9_bpe": op9_bpe,
     }
