@@ -8,6 +8,7 @@ from millrace.llm.licences import op1_licences
 from millrace.llm.media import op3_media
 from millrace.llm.packing import op8_packing
 from millrace.llm.quality import OP4_SQL, op4_quality
+from millrace.llm.suffixes import op5_suffix_repeats
 from millrace.llm.urls import OP6_SQL, op6_url_filters
 from millrace.llm.wavelet import op2_wavelet_tokens
 
@@ -18,6 +19,7 @@ def queries() -> dict:
         "op2_wavelet_tokens": op2_wavelet_tokens,
         "op3_media": op3_media,
         "op4_quality": op4_quality,
+        "op5_suffix_repeats": op5_suffix_repeats,
         "op6_url_filters": op6_url_filters,
         "op7_ngram_jaccard": op7_ngram_jaccard,
         "op8_packing": op8_packing,
