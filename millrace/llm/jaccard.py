@@ -200,14 +200,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, star:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
-
-    Two rows link if their sets' Jaccard similarity is ``percent`` / 100 at
-    least; component_id is the smallest doc_id reachable, its own included.
-    Rows without words link with nothing. Null doc_ids take part and stay null
-    (a class of nulls only has a null id); repeated rows stay repeated.
-    """
+def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Per row of ``docs``: doc_id, hash of the text, n_shingles and the label of its class (null: no words)."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.col("text").cast("string").alias("text"))
@@ -249,10 +243,32 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     more = materialize(_verify(across, texts(across), width, percent), "links")
     label = components(links.union(more)).withColumnRenamed("node", "id")
     found = rows.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    found = materialize(found.select("doc_id", F.col("n").alias("n_shingles"), "label"), "classes")
+    return materialize(found.select("doc_id", "hash", F.col("n").alias("n_shingles"), "label"), "classes")
+
+
+def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
+
+    Two rows link if their sets' Jaccard similarity is ``percent`` / 100 at
+    least; component_id is the smallest doc_id reachable, its own included.
+    Rows without words link with nothing. Null doc_ids take part and stay null
+    (a class of nulls only has a null id); repeated rows stay repeated.
+    """
+    found = _labelled(docs, width, percent)
     least = found.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
     return found.join(least, "label", "left").select("doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without those whose class has a smaller (doc_id, text hash), nulls last; of repeated rows one stays. Rows without words stay."""
+    found = _labelled(docs, width, percent)
+    first = found.where("label IS NOT NULL").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first"))
+    key = F.xxhash64("doc_id", "hash").alias("_mr_key")
+    later = found.join(first, "label").where(~(F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.hash") == F.col("hash")))).select(key).distinct()
+    keyed = docs.withColumn("_mr_key", F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    kept = keyed.join(later, "_mr_key", "left_anti")
+    return kept.dropDuplicates(["_mr_key"]).drop("_mr_key")
+
+
 def op7_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     return classes(documents(spark, sf_dir), 4, 85)

@@ -104,11 +104,21 @@ def cascade(rules: list[Rule]) -> Column:
     return verdict
 
 
-def judge(docs: DataFrame, rules: list[Rule] | None = None, ordered: bool = True) -> DataFrame:
-    """Add the measures and ``rejected_by`` (null: kept) to ``docs``. Rules are ordered on a sample of ``docs`` first."""
+def _judged(docs: DataFrame, rules: list[Rule] | None, ordered: bool) -> DataFrame:
     rules = rules if rules is not None else [*base_rules(), *default_rules()]
     docs = measured(docs)
-    return docs.withColumn("rejected_by", cascade(order_rules(docs, rules) if ordered else rules))
+    # beside a column that is not deterministic, filters stay above the measures: pushed below, they would repeat them over and over
+    return docs.withColumns({"rejected_by": cascade(order_rules(docs, rules) if ordered else rules), "_mr_hold": F.monotonically_increasing_id()})
+
+
+def judge(docs: DataFrame, rules: list[Rule] | None = None, ordered: bool = True) -> DataFrame:
+    """Add the measures and ``rejected_by`` (null: kept) to ``docs``. Rules are ordered on a sample of ``docs`` first."""
+    return _judged(docs, rules, ordered).drop("_mr_hold")
+
+
+def keep(docs: DataFrame, rules: list[Rule] | None = None, ordered: bool = True) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with their own columns."""
+    return _judged(docs, rules, ordered).where("rejected_by IS NULL AND _mr_hold >= 0").select(*docs.columns)
 
 
 def op4_quality(spark, sf_dir: str) -> DataFrame:

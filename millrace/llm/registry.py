@@ -5,6 +5,7 @@ from __future__ import annotations
 from millrace.llm.bpe import op9_bpe
 from millrace.llm.jaccard import op7_ngram_jaccard
 from millrace.llm.licences import op1_licences
+from millrace.llm.lm import op10_pseudo_likelihood
 from millrace.llm.media import op3_media
 from millrace.llm.packing import op8_packing
 from millrace.llm.quality import OP4_SQL, op4_quality
@@ -24,6 +25,7 @@ def queries() -> dict:
         "op7_ngram_jaccard": op7_ngram_jaccard,
         "op8_packing": op8_packing,
         "op9_bpe": op9_bpe,
+        "op10_pseudo_likelihood": op10_pseudo_likelihood,
     }
 
 
