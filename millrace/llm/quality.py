@@ -76,12 +76,12 @@ def default_rules() -> list[Rule]:
 def order_rules(docs: DataFrame, rules: list[Rule], sample_rows: int = 1000, sample_share: float = 0.05, seed: int = 4) -> list[Rule]:
     """Rules by rejection per cost, best first, ties as given.
 
-    Each rule runs over a sample of at most ``sample_rows`` rows; its cost is
-    the seconds it adds to a run that only reads the texts, its selectivity the
+    Each rule runs over the measures of at most ``sample_rows`` rows of ``docs``
+    (as read, without measures); its cost is the seconds it adds to a run that only reads the texts, its selectivity the
     share it rejects. The order changes how soon a document is rejected, never
     whether.
     """
-    sample = docs.sample(fraction=sample_share, seed=seed).limit(sample_rows)
+    sample = measured(docs.sample(fraction=sample_share, seed=seed).limit(sample_rows))
 
     def run(measure: Column) -> tuple[float, float]:
         began = time.perf_counter()
@@ -106,9 +106,10 @@ def cascade(rules: list[Rule]) -> Column:
 
 def _judged(docs: DataFrame, rules: list[Rule] | None, ordered: bool) -> DataFrame:
     rules = rules if rules is not None else [*base_rules(), *default_rules()]
+    rules = order_rules(docs, rules) if ordered else rules
     docs = measured(docs)
     # beside a column that is not deterministic, filters stay above the measures: pushed below, they would repeat them over and over
-    return docs.withColumns({"rejected_by": cascade(order_rules(docs, rules) if ordered else rules), "_mr_hold": F.monotonically_increasing_id()})
+    return docs.withColumns({"rejected_by": cascade(rules), "_mr_hold": F.monotonically_increasing_id()})
 
 
 def judge(docs: DataFrame, rules: list[Rule] | None = None, ordered: bool = True) -> DataFrame:
@@ -123,9 +124,10 @@ def keep(docs: DataFrame, rules: list[Rule] | None = None, ordered: bool = True)
 
 def op4_quality(spark, sf_dir: str) -> DataFrame:
     """Null texts have no words and fail the base; repeated rows stay repeated; an empty table gives an empty result."""
-    docs = measured(documents(spark, sf_dir).select("doc_id", "text"))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     base = base_rules()
     rules = order_rules(docs, [*base, *default_rules()])
+    docs = measured(docs)
     failed = base[0].fails | base[1].fails
     return docs.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), cascade(rules).isNull().alias("kept"))
 
