@@ -4,9 +4,10 @@
 2. Tokens are ordered rarest first by a frequency table of fixed size. Of a set
    of n tokens, the first n - ceil(t n) + 1 enter the index: two sets of
    similarity t share one of those.
-3. First pass over the index lists: each set is compared with its list's pivot
-   only, if they share enough of the index. Sets linked to a pivot get one label.
-4. Second pass: a set of a list is compared with those of other labels alone; a
+3. First passes over the index lists: each label's best candidate is compared with
+   one pivot of its lists. Sets that link get one label; a few passes leave
+   groups of near copies with one label or few.
+4. Last pass: a set of a list is compared with those of other labels alone; a
    pair of equal label is connected already, which is all that its comparison
    could tell (the answer is derived). Blocks of a list whose sizes or positions
    rule out a link are skipped whole. Pairs whose shared index entries cannot
@@ -33,6 +34,8 @@ BUCKETS = 1 << 20
 #: Tokens whose counts a task holds before it hands them on.
 HELD = 4_000_000
 BLOCK = 1024
+#: Entries of a list that count as many, and how often stars are drawn before all pairs of different labels.
+LONG, ROUNDS = 16, 3
 
 
 def _set_id(tokens: np.ndarray) -> int:
@@ -121,23 +124,29 @@ def _by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
 
 
 def _stars(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b, na, nb) per list entry after the pivot: a is the last entry that began a star, the smallest set in reach."""
+    """(a, b): for every label its set b that shares the most index entries with a pivot a of another label.
+
+    A list's pivot is the last entry that began a star, the smallest set in
+    reach. A label takes one pivot only, so there are no more pairs than labels.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, own, n in _by_list(batches):
+        for token, own, n, label in _by_list(batches):
             first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
             out: list[tuple[np.ndarray, ...]] = []
             for lo, hi in zip(first, [*first[1:], len(token)], strict=True):
                 while hi - lo > 1:
                     end = lo + int(np.searchsorted(n[lo:hi] * percent, 100 * int(n[lo]), side="right"))
-                    if end - lo > 1:
-                        out.append((np.full(end - lo - 1, own[lo]), own[lo + 1 : end], np.full(end - lo - 1, n[lo]), n[lo + 1 : end]))
+                    other = lo + 1 + np.flatnonzero(label[lo + 1 : end] != label[lo])
+                    if len(other):
+                        out.append((np.full(len(other), own[lo]), own[other], np.full(len(other), n[lo]), label[other]))
                     lo = end
             if out:
-                yield _batch("a b na nb", (pa.int64(), pa.int64(), pa.int32(), pa.int32()), [np.concatenate(c) for c in zip(*out, strict=True)])
+                yield _batch("a b na label", (pa.int64(), pa.int64(), pa.int32(), pa.int64()), [np.concatenate(c) for c in zip(*out, strict=True)])
 
-    pairs = lists.select("token", "id", "n").mapInArrow(run, "a long, b long, na int, nb int")
-    return pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count("*").alias("shared"))
+    pairs = lists.select("token", "id", "n", "label").mapInArrow(run, "a long, b long, na int, label long")
+    counted = pairs.groupBy("a", "b", "label").agg(F.first("na").alias("na"), F.count("*").alias("shared")).where("shared * 33 >= na")
+    return counted.groupBy("label").agg(F.max(F.struct("shared", "a", "b")).alias("best")).select("best.a", "best.b")
 
 
 def _across(lists: DataFrame, percent: int) -> DataFrame:
@@ -209,6 +218,10 @@ def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
     rows = first.where("kind = 0").select("doc_id", "hash", "n", "id")
     often = fixed_table(first.where("kind = 1").select(F.col("doc_id").alias("bucket"), F.col("n").alias("value")), BUCKETS)
     table = spark.sparkContext.broadcast(often)
+    # tokens that still have long lists move behind the rarer ones: the order is again one table for all sets
+    long = _index(docs, width, percent, table).groupBy("token").agg(F.count("*").alias("value")).where(F.col("value") > LONG)
+    more = fixed_table(long.select(F.pmod("token", F.lit(BUCKETS)).alias("bucket"), "value"), BUCKETS)
+    table = spark.sparkContext.broadcast(often + np.minimum(more, 2**32 - 1 - often))
     index = _index(docs, width, percent, table).distinct()
     counted = index.withColumn("_sets", F.count("*").over(Window.partitionBy("token"))).where("_sets > 1").drop("_sets")
     lists = materialize(counted, "lists")
@@ -232,14 +245,29 @@ def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
         return near.select("id", "text").dropDuplicates(["id"])
 
     sorted_lists = lambda df: df.repartition("token").sortWithinPartitions("token", "n", "id")
-    stars = _stars(sorted_lists(lists.select("token", "id", "n", "pos")), percent)
-    stars = materialize(stars.where("shared * 33 >= na").select("a", "b"), "stars")
-    links = materialize(_verify(stars, texts(stars), width, percent), "links")
-    label = components(links)
-    labelled = lists.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     by_token = Window.partitionBy("token")
-    labelled = labelled.withColumn("_lo", F.min("label").over(by_token)).withColumn("_hi", F.max("label").over(by_token)).where("_lo <> _hi").drop("_lo", "_hi")
-    across = materialize(_across(sorted_lists(labelled), percent).select("a", "b"), "across")
+
+    def divided(label: DataFrame | None) -> DataFrame:
+        """The lists that still hold several labels."""
+        if label is None:
+            return lists.withColumns({"label": F.col("id"), "_size": F.count("*").over(by_token)})
+        named = lists.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+        named = named.withColumns({"_lo": F.min("label").over(by_token), "_hi": F.max("label").over(by_token), "_size": F.count("*").over(by_token)})
+        return materialize(named.where("_lo <> _hi").drop("_lo", "_hi"), "divided")
+
+    label = links = None
+    left = divided(None)
+    for _ in range(ROUNDS):
+        stars = materialize(_stars(sorted_lists(left), percent), "stars")
+        found = materialize(_verify(stars, texts(stars), width, percent), "links")
+        if links is not None and not found.limit(1).count():
+            break
+        links = found if links is None else links.union(found)
+        label = components(links)
+        left = divided(label)
+        if not left.where(F.col("_size") > LONG).limit(1).count():
+            break
+    across = materialize(_across(sorted_lists(left), percent).select("a", "b"), "across")
     more = materialize(_verify(across, texts(across), width, percent), "links")
     label = components(links.union(more)).withColumnRenamed("node", "id")
     found = rows.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
