@@ -35,20 +35,41 @@ BUCKETS = 1 << 20
 HELD = 4_000_000
 BLOCK = 1024
 #: Entries of a list that count as many, and how often stars are drawn before all pairs of different labels.
-LONG, ROUNDS = 16, 3
+LONG, ROUNDS = 16, 4
+#: Pivots of a run of a long list after the first round.
+PIVOTS = 16
+#: Columns of a set's sketch.
+SKETCH = ("s0", "s1", "s2", "s3")
 
 
 def _set_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def _sketch(tokens: np.ndarray) -> tuple[int, ...]:
+    """256 bits, each the parity of the tokens that fall on it: two sets differ in at least as many tokens as their sketches in bits."""
+    parity = np.bincount((tokens >> np.uint64(20) & np.uint64(255)).astype(np.int64), minlength=256).astype(np.uint8) & 1
+    return tuple(np.packbits(parity).view(np.int64).tolist())
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many bits rows of sketches differ."""
+    return np.bitwise_count((x ^ y).view(np.uint64)).sum(axis=-1, dtype=np.int64)
+
+
+def _least_shared(na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Tokens that sets of these sizes share at least if they link."""
+    return -(-percent * (na + nb) // (100 + percent))
+
+
 def _batch(names: str, kinds: tuple, cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names.split())
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """Per row (kind 0): doc_id, text hash, size and id of its set (null: none). Per bucket with repeats in a task (kind 1): the bucket and their number."""
-    kinds = (pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+    """Per row (kind 0): doc_id, text hash, size, id and sketch of its set (null: none). Per bucket with repeats in a task (kind 1): the bucket and their number."""
+    kinds = (pa.int8(),) + (pa.int64(),) * (4 + len(SKETCH))
+    names = " ".join(["kind doc_id hash n id", *SKETCH])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -59,28 +80,28 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
             often = counts > 2
             bucket, at = np.unique((tokens[often] % np.uint64(BUCKETS)).astype(np.int64), return_inverse=True)
             n = len(bucket)
-            return _batch("kind doc_id hash n id", kinds, (np.ones(n, np.int8), bucket, np.zeros(n, np.int64), np.bincount(at, counts[often], n).astype(np.int64), np.zeros(n, np.int64)))
+            return _batch(names, kinds, (np.ones(n, np.int8), bucket, np.zeros(n, np.int64), np.bincount(at, counts[often], n).astype(np.int64), *[np.zeros(n, np.int64)] * (1 + len(SKETCH))))
 
         for batch in batches:
             rows: list[tuple] = []
             for doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tokens = shingle_set(text, width)
                 own = _set_id(tokens) if len(tokens) else None
-                rows.append((0, doc, key, len(tokens), own))
+                rows.append((0, doc, key, len(tokens), own, *_sketch(tokens)))
                 if own is not None and own not in seen:
                     if len(seen) < 1_000_000:
                         seen.add(own)
                     held.append(tokens)
                     size += len(tokens)
             if rows:
-                yield _batch("kind doc_id hash n id", kinds, zip(*rows, strict=True))
+                yield _batch(names, kinds, zip(*rows, strict=True))
             if size > HELD:
                 yield repeats()
                 held, size = [], 0
         if held:
             yield repeats()
 
-    return docs.mapInArrow(run, "kind byte, doc_id long, hash long, n long, id long")
+    return docs.mapInArrow(run, ", ".join(["kind byte, doc_id long, hash long, n long, id long", *(f"{c} long" for c in SKETCH)]))
 
 
 def _index(docs: DataFrame, width: int, percent: int, table) -> DataFrame:
@@ -123,37 +144,50 @@ def _by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield rest
 
 
-def _stars(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b): for every label its set b that shares the most index entries with a pivot a of another label.
+def _stars(lists: DataFrame, percent: int, turn: int, pivots: int, tried: DataFrame | None) -> DataFrame:
+    """(a, b): for every label its sets b that are nearest pivots a of other labels by index entries and sketch, pairs in ``tried`` left out.
 
-    A list's pivot is the last entry that began a star, the smallest set in
-    reach. A label takes one pivot only, so there are no more pairs than labels.
+    The entries of a list are cut into runs whose sizes allow a link; a run's
+    pivots are the sets of the least scrambled ids, others each ``turn`` and
+    mostly the same in all lists of a group of near copies. A label takes
+    ``pivots`` pairs at most, the best of as many shares of its candidates.
     """
+    scramble = np.uint64(0x9E3779B97F4A7C15 * (2 * turn + 1) % 2**64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, own, n, label in _by_list(batches):
+        for token, own, n, label, *bits in _by_list(batches):
+            sketch = np.stack(bits, axis=1)
+            rank = own.view(np.uint64) * scramble
+            rank ^= rank >> np.uint64(29)
             first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
             out: list[tuple[np.ndarray, ...]] = []
             for lo, hi in zip(first, [*first[1:], len(token)], strict=True):
                 while hi - lo > 1:
                     end = lo + int(np.searchsorted(n[lo:hi] * percent, 100 * int(n[lo]), side="right"))
-                    other = lo + 1 + np.flatnonzero(label[lo + 1 : end] != label[lo])
-                    if len(other):
-                        out.append((np.full(len(other), own[lo]), own[other], np.full(len(other), n[lo]), label[other]))
+                    for at in lo + np.argsort(rank[lo:end])[:pivots]:
+                        other = lo + np.flatnonzero(label[lo:end] != label[at])
+                        both, apart = int(n[at]) + n[other].astype(np.int64), _apart(sketch[other], sketch[at])
+                        near = both - apart >= 2 * _least_shared(n[other].astype(np.int64), int(n[at]), percent)
+                        other, apart = other[near], (apart / both)[near]
+                        if len(other):
+                            out.append((np.full(len(other), own[at]), own[other], np.full(len(other), n[at]), label[other], apart))
                     lo = end
             if out:
-                yield _batch("a b na label", (pa.int64(), pa.int64(), pa.int32(), pa.int64()), [np.concatenate(c) for c in zip(*out, strict=True)])
+                yield _batch("a b na label apart", (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.float64()), [np.concatenate(c) for c in zip(*out, strict=True)])
 
-    pairs = lists.select("token", "id", "n", "label").mapInArrow(run, "a long, b long, na int, label long")
-    counted = pairs.groupBy("a", "b", "label").agg(F.first("na").alias("na"), F.count("*").alias("shared")).where("shared * 33 >= na")
-    return counted.groupBy("label").agg(F.max(F.struct("shared", "a", "b")).alias("best")).select("best.a", "best.b")
+    pairs = lists.select("token", "id", "n", "label", *SKETCH).mapInArrow(run, "a long, b long, na int, label long, apart double")
+    counted = pairs.groupBy("a", "b", "label").agg(F.first("na").alias("na"), F.first("apart").alias("apart"), F.count("*").alias("shared")).where("shared * 33 >= na")
+    if tried is not None:
+        counted = counted.join(tried, ["a", "b"], "left_anti")
+    return counted.groupBy("label", F.pmod(F.xxhash64("a", "b"), F.lit(pivots))).agg(F.max(F.struct(F.expr("shared / na - apart"), "a", "b")).alias("best")).select("best.a", "best.b")
 
 
 def _across(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b, na, nb, shared) of the pairs of one list whose labels differ and whose sizes and positions allow a link."""
+    """(a, b, na, nb, shared) of the pairs of one list whose labels differ and whose sizes, positions and sketches allow a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, own, n, pos, label in _by_list(batches):
+        for token, own, n, pos, label, *bits in _by_list(batches):
+            sketch = np.stack(bits, axis=1)
             first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
             for lo, hi in zip(first, [*first[1:], len(token)], strict=True):
                 for y in range(lo, hi, BLOCK):
@@ -164,18 +198,20 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
                         if int(n[xs][-1]) * 100 < percent * int(n[ys][0]):
                             continue
                         na, nb, pa_, pb = n[xs, None].astype(np.int64), n[None, ys].astype(np.int64), pos[xs, None].astype(np.int64), pos[None, ys].astype(np.int64)
-                        need = -(-percent * (na + nb) // (100 + percent))
+                        need = _least_shared(na, nb, percent)
                         most = np.minimum(pa_, pb) + np.minimum(na - pa_, nb - pb)
                         ok = (label[xs, None] != label[None, ys]) & (na * 100 >= percent * nb) & (nb * 100 >= percent * na) & (most >= need)
                         if x == y:
                             ok &= np.arange(ok.shape[0])[:, None] < np.arange(ok.shape[1])[None, :]
                         i, j = np.nonzero(ok)
+                        near = (na + nb - 2 * need)[i, j] >= _apart(sketch[xs][i], sketch[ys][j])
+                        i, j = i[near], j[near]
                         if len(i):
                             a, b, na, nb = own[xs][i], own[ys][j], n[xs][i], n[ys][j]
                             swap = a > b
                             yield _batch("a b na nb", (pa.int64(), pa.int64(), pa.int32(), pa.int32()), (np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)))
 
-    pairs = lists.select("token", "id", "n", "pos", "label").mapInArrow(run, "a long, b long, na int, nb int")
+    pairs = lists.select("token", "id", "n", "pos", "label", *SKETCH).mapInArrow(run, "a long, b long, na int, nb int")
     counted = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count("*").alias("shared"))
     # of the set whose index ends first, all shared tokens up to there are in the other's index too
     outside = lambda n: F.expr(f"ceil({percent} * {n} / 100.0) - 1")
@@ -215,7 +251,7 @@ def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.col("text").cast("string").alias("text"))
     first = materialize(_sets(docs, width), "sets")
-    rows = first.where("kind = 0").select("doc_id", "hash", "n", "id")
+    rows = first.where("kind = 0").select("doc_id", "hash", "n", "id", *SKETCH)
     often = fixed_table(first.where("kind = 1").select(F.col("doc_id").alias("bucket"), F.col("n").alias("value")), BUCKETS)
     table = spark.sparkContext.broadcast(often)
     # tokens that still have long lists move behind the rarer ones: the order is again one table for all sets
@@ -225,12 +261,12 @@ def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
     index = _index(docs, width, percent, table).distinct()
     counted = index.withColumn("_sets", F.count("*").over(Window.partitionBy("token"))).where("_sets > 1").drop("_sets")
     lists = materialize(counted, "lists")
-    holders = rows.where("id IS NOT NULL").groupBy("id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "hash")).alias("r")).select("id", F.col("r.doc_id").alias("rep"), F.col("r.hash").alias("hash"))
+    holders = rows.where("id IS NOT NULL").groupBy("id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "hash", *SKETCH)).alias("r")).select("id", F.col("r.doc_id").alias("rep"), *(f"r.{c}" for c in ("hash", *SKETCH)))
     holders = materialize(holders, "holders")
 
     def texts(pairs: DataFrame) -> DataFrame:
         """id and text of the sets in ``pairs``; texts that no pair wants are mostly sifted out before the join, by a table of fixed size."""
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(holders, "id")
+        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(holders.select("id", "rep", "hash"), "id")
         sieve = fixed_table(wanted.select(F.pmod("hash", F.lit(BUCKETS)).alias("bucket"), F.lit(1).alias("value")), BUCKETS)
         sieve = spark.sparkContext.broadcast(sieve > 0)
 
@@ -244,7 +280,7 @@ def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
         near = near.join(wanted.select("id", "hash", F.col("rep")), "hash").where("doc_id <=> rep")
         return near.select("id", "text").dropDuplicates(["id"])
 
-    sorted_lists = lambda df: df.repartition("token").sortWithinPartitions("token", "n", "id")
+    sorted_lists = lambda df: df.join(holders.select("id", *SKETCH), "id").repartition("token").sortWithinPartitions("token", "n", "id")
     by_token = Window.partitionBy("token")
 
     def divided(label: DataFrame | None) -> DataFrame:
@@ -255,10 +291,13 @@ def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
         named = named.withColumns({"_lo": F.min("label").over(by_token), "_hi": F.max("label").over(by_token), "_size": F.count("*").over(by_token)})
         return materialize(named.where("_lo <> _hi").drop("_lo", "_hi"), "divided")
 
-    label = links = None
+    label = links = tried = None
     left = divided(None)
-    for _ in range(ROUNDS):
-        stars = materialize(_stars(sorted_lists(left), percent), "stars")
+    for turn in range(ROUNDS):
+        # all lists by one pivot, then the long ones alone by many
+        part, pivots = (left.where(F.col("_size") > LONG), PIVOTS) if turn else (left, 1)
+        stars = materialize(_stars(sorted_lists(part), percent, turn, pivots, tried), "stars")
+        tried = stars if tried is None else tried.union(stars)
         found = materialize(_verify(stars, texts(stars), width, percent), "links")
         if links is not None and not found.limit(1).count():
             break

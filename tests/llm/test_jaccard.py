@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from millrace.llm import jaccard
 from tests.llm.conftest import SF, make
 
@@ -76,3 +78,13 @@ def test_chains_cliques_and_common_passages(spark):
     rng.shuffle(rows)
     for width, percent in ((4, 85), (5, 80), (2, 60)):
         assert sorted(map(tuple, jaccard.classes(make(spark, rows), width, percent).collect()), key=str) == brute(rows, width, percent)
+
+
+def test_sketches_never_differ_in_more_bits_than_sets_in_tokens():
+    rng = np.random.default_rng(5)
+    for n in (1, 40, 600, 5000):
+        tokens = rng.integers(0, 2**64, n, dtype=np.uint64)
+        for changed in (0, 1, 7, n // 3):
+            other = np.concatenate([tokens[changed:], rng.integers(0, 2**64, changed, dtype=np.uint64)])
+            apart = jaccard._apart(np.array([jaccard._sketch(tokens)]), np.array(jaccard._sketch(other)))
+            assert apart[0] <= len(np.setxor1d(tokens, other))
