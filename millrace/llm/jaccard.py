@@ -4,14 +4,15 @@
 2. Tokens are ordered rarest first by a frequency table of fixed size. Of a set
    of n tokens, the first n - ceil(t n) + 1 enter the index: two sets of
    similarity t share one of those.
-3. First passes over the index lists: each label's best candidate is compared with
-   one pivot of its lists. Sets that link get one label; a few passes leave
-   groups of near copies with one label or few.
+3. First passes over the index lists: each label's best candidates are compared
+   with pivots of its lists, one pivot in the first pass, several of the long
+   lists after it. Sets that link get one label; a few passes leave groups of
+   near copies with few labels.
 4. Last pass: a set of a list is compared with those of other labels alone; a
    pair of equal label is connected already, which is all that its comparison
    could tell (the answer is derived). Blocks of a list whose sizes or positions
-   rule out a link are skipped whole. Pairs whose shared index entries cannot
-   reach the overlap are dropped, which is exact; the rest are verified on their
+   rule out a link are skipped whole. Pairs whose sketches or shared index
+   entries rule out the overlap are dropped, which is exact; the rest are verified on their
    texts.
 """
 
