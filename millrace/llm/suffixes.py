@@ -7,7 +7,8 @@
    before them, read backwards; in either order each is compared with the nearest
    suffixes of other texts above and below it, and the match is extended to the
    right and to the left, word by word. Matches of 50 words at least are repeats;
-   overlapping ones make up longer passages.
+   overlapping ones make up longer passages. The nearest suffixes of earlier
+   texts above and below say which words have an earlier holder.
 
 Equal texts are one text throughout, so groups of copies cost one of them.
 """
@@ -18,7 +19,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,12 +77,12 @@ def _suffixes(docs: DataFrame, least: int) -> DataFrame:
 
 
 def _contexts(rows: DataFrame, room: int) -> DataFrame:
-    """Per wanted position of (hash, places, text): the codes of the ``room`` words after the key and, backwards, before it."""
-    schema = "key long, after binary, before binary, hash long, pos int, n_after int, n_before int"
+    """Per wanted position of (hash, places, text, rep): the codes of the ``room`` words after the key and, backwards, before it."""
+    schema = "key long, after binary, before binary, hash long, pos int, n_after int, n_before int, rep long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own, places, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for own, places, text, rep in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = word_codes(text)[0]
                 n, at = len(words), np.unique(np.array(places, dtype=np.int64))
                 codes = np.zeros((n + 2 * room, CODE), np.uint8)
@@ -92,7 +92,7 @@ def _contexts(rows: DataFrame, room: int) -> DataFrame:
                 before = codes[(room + at - 1)[:, None] - step]
                 binary = lambda x: pa.array([r.tobytes() for r in x], pa.binary())
                 key = gram_codes(words, KEY)[at].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), binary(after), binary(before), pa.array(np.full(len(at), own)), pa.array(at.astype(np.int32)), pa.array(np.minimum(room, n - at - KEY).astype(np.int32)), pa.array(np.minimum(room, at).astype(np.int32))], [x.split()[0] for x in schema.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(key), binary(after), binary(before), pa.array(np.full(len(at), own)), pa.array(at.astype(np.int32)), pa.array(np.minimum(room, n - at - KEY).astype(np.int32)), pa.array(np.minimum(room, at).astype(np.int32)), pa.array([rep] * len(at), pa.int64())], [x.split()[0] for x in schema.split(", ")])
 
     return rows.mapInArrow(run, schema)
 
@@ -106,63 +106,80 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(column.buffers()[2], np.uint8, n * width, first).reshape(n, width)
 
 
-def _matches(sorted_rows: DataFrame, room: int, least: int, order: int) -> DataFrame:
-    """(hash, start, stop, run) of suffixes that match a near suffix of another text; matched neighbours share a run."""
+def _lengths(cols: list[np.ndarray], rows: np.ndarray, other: np.ndarray, room: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words that each row shares with the other row before the key's start and from there on; -1 if under ``least`` in sum or of another key."""
+    key, after, before, _, _, n_after, n_before = cols[:7]
+    ok = (other >= 0) & (other < len(key))
+    o = np.where(ok, other, rows)
+    ok &= key[o] == key[rows]
+    both = []
+    for codes, limit in ((after, n_after), (before, n_before)):
+        same = (codes[rows] == codes[o]).reshape(len(rows), room, CODE).all(axis=2)
+        both.append(np.minimum(np.where(same.all(axis=1), room, same.argmin(axis=1)), np.minimum(limit[rows], limit[o])))
+    right, left = both[0] + KEY, both[1]
+    ok &= right + left >= least
+    return np.where(ok, left, -1), np.where(ok, right, -1)
+
+
+def earlier(keys: list[int], reps: list[float], held: int) -> tuple[list[int], list[int], list[int]]:
+    """Each row with the nearest row above and the nearest below it, of its key, whose rep is smaller: (rows, those rows, stack).
+
+    No row of a smaller rep shares more with it than these two do. The first
+    ``held`` rows are the stack that was left of the rows before.
+    """
+    stack, link = [], [-1] * len(keys)  # reps never fall in the stack; link: the last row in it of a smaller rep
+    rows, others = [], []
+    for i, rep in enumerate(reps):
+        if stack and keys[stack[-1]] != keys[i]:
+            stack = []
+        while stack and reps[stack[-1]] > rep:
+            rows.append(stack.pop())
+            others.append(i)
+        if stack:
+            link[i] = stack[-1] if reps[stack[-1]] < rep else link[stack[-1]]
+            if link[i] >= 0 and i >= held:
+                rows.append(i)
+                others.append(link[i])
+        stack.append(i)
+    return rows, others, stack
+
+
+def _matches(sorted_rows: DataFrame, room: int, least: int) -> DataFrame:
+    """(hash, start, stop, cut) of suffixes that match a near suffix of another text; cut: the nearest of the texts of a smaller rep."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, counter = (TaskContext.get().partitionId() << 40) + (order << 38), 0
         kept: list[np.ndarray] | None = None
         done = 0  # rows of kept that are there to be compared with only
-        open_run = False
+        stack: list[np.ndarray] | None = None
 
-        def emit(cols: list[np.ndarray], start: int, stop: int) -> pa.RecordBatch | None:
-            nonlocal counter, open_run
-            key, after, before, own, pos, n_after, n_before = cols
+        def spans(cols: list[np.ndarray], rows: np.ndarray, others: list[np.ndarray], cut: bool) -> Iterator[pa.RecordBatch]:
+            for other in others:
+                left, right = _lengths(cols, rows, other, room, least)
+                use = left >= 0
+                if use.any():
+                    own, pos = cols[3][rows][use], cols[4][rows][use]
+                    out = [own, (pos - left[use]).astype(np.int32), (pos + right[use]).astype(np.int32), np.full(len(own), cut)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["hash", "start", "stop", "cut"])
+
+        def near(cols: list[np.ndarray], start: int, stop: int) -> Iterator[pa.RecordBatch]:
+            key, own = cols[0], cols[3]
             n = len(key)
             new = np.concatenate([[True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])])
             first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-            above = first - 1  # the last row of another text, or of another key
             ends = np.concatenate([np.flatnonzero(new)[1:], [n]])
-            below = ends[np.cumsum(new) - 1]
-
-            def lengths(other: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-                ok = (other >= 0) & (other < n)
-                o = np.where(ok, other, rows)
-                ok &= key[o] == key[rows]
-                both = []
-                for codes, limit in ((after, n_after), (before, n_before)):
-                    same = (codes[rows] == codes[o]).reshape(len(rows), room, CODE).all(axis=2)
-                    both.append(np.minimum(np.where(same.all(axis=1), room, same.argmin(axis=1)), np.minimum(limit[rows], limit[o])))
-                right, left = both[0] + KEY, both[1]
-                ok &= right + left >= least
-                return np.where(ok, left, -1), np.where(ok, right, -1)
-
             rows = np.arange(start, stop)
-            la, ra = lengths(above[rows], rows)
-            lb, rb = lengths(below[rows], rows)
-            lp, _ = lengths(rows - 1, rows)
-            joined = (lp >= 0) | (la >= 0)
-            if start == 0:
-                joined[0] = False
-            hit = (la >= 0) | (lb >= 0)
-            begins = hit & ~joined
-            if len(rows) and not open_run and hit[0]:
-                begins[0] = True
-            number = counter + np.cumsum(begins)
-            counter += int(begins.sum())
-            open_run = bool(len(rows) and hit[-1])
-            if not hit.any():
-                return None
-            out = []
-            for left, right in ((la, ra), (lb, rb)):
-                use = left >= 0
-                out.append((own[rows][use], (pos[rows] - left)[use], (pos[rows] + right)[use], number[use] + part))
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(t)) for x, t in zip(zip(*out, strict=True), (np.int64, np.int32, np.int32, np.int64), strict=True)], ["hash", "start", "stop", "run"])
+            # the next row of another text, or of another key, above and below
+            yield from spans(cols, rows, [(first - 1)[rows], ends[np.cumsum(new) - 1][rows]], False)
 
         for batch in batches:
-            cols = [_matrix(c, room * CODE) if i in (1, 2) else c.to_numpy(zero_copy_only=False) for i, c in enumerate(batch.columns)]
-            if not len(cols[0]):
+            if not batch.num_rows:
                 continue
+            cols = [_matrix(c, room * CODE) if i in (1, 2) else c.to_numpy(zero_copy_only=False) for i, c in enumerate(batch.columns[:7])]
+            cols.append(np.array([np.inf if x is None else x for x in batch.column(7).to_pylist()], dtype=object))
+            own = [np.concatenate(x) for x in zip(stack, cols, strict=True)] if stack is not None else cols
+            rows, others, left = earlier(own[0].tolist(), own[7].tolist(), len(own[0]) - batch.num_rows)
+            yield from spans(own, np.array(rows, np.int64), [np.array(others, np.int64)], True)
+            stack = [c[left] for c in own]
             if kept is not None:
                 cols = [np.concatenate(x) for x in zip(kept, cols, strict=True)]
             key, own = cols[0], cols[3]
@@ -170,14 +187,14 @@ def _matches(sorted_rows: DataFrame, room: int, least: int, order: int) -> DataF
             tail = len(key) - 1
             while tail > done and key[tail - 1] == key[-1] and own[tail - 1] == own[-1]:
                 tail -= 1
-            if tail > done and (found := emit(cols, done, tail)) is not None:
-                yield found
+            if tail > done:
+                yield from near(cols, done, tail)
             back = max(0, tail - 1)
             kept, done = [c[back:] for c in cols], tail - back
-        if kept is not None and (found := emit(kept, done, len(kept[0]))) is not None:
-            yield found
+        if kept is not None:
+            yield from near(kept, done, len(kept[0]))
 
-    return sorted_rows.mapInArrow(run, "hash long, start int, stop int, run long")
+    return sorted_rows.mapInArrow(run, "hash long, start int, stop int, cut boolean")
 
 
 def _merged(spans: str) -> str:
@@ -195,8 +212,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, least: int = 50) -> DataFrame:
     """Per text with passages of ``least`` words at least that another text holds too: hash, spans, cuts.
 
-    Spans are word positions [start, stop), merged. cuts are those of them whose
-    first holder (the smallest doc_id, nulls last) is another document.
+    Spans are word positions [start, stop), merged. cuts are the words of them
+    that an earlier text (of a smaller least doc_id, nulls last) holds in a
+    passage of ``least`` words that both share.
     """
     small_batches(docs.sparkSession)
     room = least - KEY
@@ -219,12 +237,10 @@ def repeats(docs: DataFrame, least: int = 50) -> DataFrame:
                 yield batch.filter(pa.array(hit))
 
     near = docs.mapInArrow(sift, "doc_id long, hash long, text string")
-    texts = near.join(wanted.join(holders, "hash"), "hash").where("doc_id <=> rep").select("hash", "places", "text")
+    texts = near.join(wanted.join(holders, "hash"), "hash").where("doc_id <=> rep").select("hash", "places", "text", "rep")
     rows = _contexts(texts, room).repartition(parts, "key")  # one exchange, read in two orders
-    found = [_matches(rows.sortWithinPartitions("key", *by, "hash", "pos"), room, least, i) for i, by in enumerate((("after", "before"), ("before", "after")))]
-    found = materialize(found[0].union(found[1]), "matches").join(holders, "hash")
-    first = F.min(F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("rep"))).over(Window.partitionBy("run"))
-    found = found.withColumn("first", first).withColumn("cut", ~F.col("first.rep").eqNullSafe(F.col("rep")))
+    found = [_matches(rows.sortWithinPartitions("key", *by, "hash", "pos"), room, least) for by in (("after", "before"), ("before", "after"))]
+    found = materialize(found[0].union(found[1]), "matches")
     span = F.struct("start", "stop")
     found = found.groupBy("hash").agg(F.array_sort(F.collect_set(span)).alias("spans"), F.array_sort(F.collect_set(F.when(F.col("cut"), span))).alias("cuts"))
     return found.select("hash", F.expr(_merged("spans")).alias("spans"), F.expr(_merged("cuts")).alias("cuts"))

@@ -118,3 +118,53 @@ def test_odd_rows(spark, odd, odd_rows, empty):
     assert kept.columns == again.columns and kept.count() == len(odd_rows)
     assert suffixes.document_repeats(empty).count() == suffixes.without_repeats(empty).count() == 0
     assert np.all(np.array([r.n_chars for r in kept.collect()]) == 7)
+
+
+def test_every_word_cut_has_an_earlier_holder(spark):
+    rng = random.Random(23)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(6))
+    some = lambda n: [word() for _ in range(n)]
+    p, q = some(60), some(20)
+    rows = [(1, some(30) + p + some(30)), (5, some(30) + p + q + some(30)), (9, some(30) + p + q + some(30))]
+    x, y, z = some(30), some(35), some(40)  # 20 and 21, 21 and 22 share 65 and 75 words, 20 and 22 only 35
+    rows += [(20, x + y + some(40)), (21, x + y + z + some(9)), (22, some(40) + y + z + some(9))]
+    for i in range(80):  # chains of pieces of common passages, each with its own surroundings
+        common = rng.choice([p, q + p, x + y + z, y + z])
+        a = rng.randint(0, len(common) - 10)
+        rows.append((100 + i, some(rng.randint(0, 40)) + common[a:] + common[: rng.randint(0, len(common))] + some(rng.randint(0, 40))))
+    for i in range(1, 80):
+        rows[-i] = (rows[-i][0], rows[-i][1] + rng.choice(rows[:-i])[1][rng.randint(0, 30) :])
+    rng.shuffle(rows)
+    text = dict(rows)
+    got = {r.doc_id: r for r in suffixes.document_repeats(make(spark, [(d, " ".join(w)) for d, w in rows])).collect()}
+    assert spread(got[9].cuts) == set(range(30, 110)) and spread(got[5].cuts) == set(range(30, 90)) and not got[1].cuts
+    earlier, wrong, missed = set(), {}, {}
+    for d in sorted(text):
+        w, want = text[d], set()
+        for i in range(len(w) - 49):
+            if tuple(w[i : i + 50]) in earlier:
+                want.update(range(i, i + 50))
+        earlier |= {tuple(w[i : i + 50]) for i in range(len(w) - 49)}
+        cuts = spread(got[d].cuts) if d in got else set()
+        wrong[d], missed[d] = len(cuts - want), len(want - cuts)
+    # a pair that is nearest in neither order may be missed (README), but no word goes that no earlier text holds
+    assert not sum(wrong.values()), wrong
+    assert sum(missed.values()) < 20, missed
+
+
+def test_earlier_rows_of_batches():
+    rng = random.Random(5)
+    rows = sorted((rng.randint(0, 3), rng.random(), rng.choice([*range(12), float("inf")])) for _ in range(200))
+    keys, reps = [r[0] for r in rows], [r[2] for r in rows]
+    want = set()
+    for i in range(200):
+        for step in (range(i - 1, -1, -1), range(i + 1, 200)):
+            j = next((j for j in step if keys[j] != keys[i] or reps[j] < reps[i]), i)
+            want |= {(i, j)} if keys[j] == keys[i] and reps[j] < reps[i] else set()
+    got, held = [], []
+    for lo in range(0, 200, 17):
+        at = held + list(range(lo, min(200, lo + 17)))
+        a, b, left = suffixes.earlier([keys[i] for i in at], [reps[i] for i in at], len(held))
+        got += [(at[i], at[j]) for i, j in zip(a, b)]
+        held = [at[i] for i in left]
+    assert len(got) == len(set(got)) and set(got) == want
