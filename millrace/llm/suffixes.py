@@ -34,7 +34,14 @@ SIEVE = 1 << 20
 
 
 def retained(words: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and codes of the windows that are least among ``reach`` neighbours; of a run of equal ones the first, the last and every (reach - 1)-th."""
+    """Positions and codes of the windows that are least among ``reach`` neighbours.
+
+    Equal ones at equal distances of KEY words at most lie in a stretch that
+    repeats itself word by word; those with ``reach`` words of it on either side
+    have the same context, and some are left out, with no more than reach - 1
+    words between those that stay. At larger distances the words between may
+    vary, and all stay.
+    """
     codes = gram_codes(words, KEY)
     if len(codes) < reach:
         return np.zeros(0, np.int64), codes[:0]
@@ -42,14 +49,26 @@ def retained(words: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
     at = near.argmin(axis=1) + np.arange(len(near))
     at = at[np.concatenate([[True], at[1:] != at[:-1]])]
     own = codes[at]
-    if len(at) > 2 and (own[1:] == own[:-1]).any():
-        kept, last = [], None
-        for i, p in enumerate(at.tolist()):
-            ends = i + 1 == len(at) or own[i + 1] != own[i]
-            if last is None or own[i] != own[i - 1] or p - last >= reach - 1 or ends:
-                kept.append(i)
-                last = p
-        at, own = at[kept], own[kept]
+    step = np.diff(at)
+    joined = (own[1:] == own[:-1]) & (step <= KEY)
+    if joined.any():
+        # a stretch goes on where the step before it was a joined one of the same length
+        goes_on = joined & np.concatenate([[False], joined[:-1] & (step[1:] == step[:-1])])
+        begins = np.flatnonzero(np.concatenate([[True], ~goes_on]))
+        stays = np.ones(len(at), bool)
+        for lo, hi in zip(begins.tolist(), [*begins[1:].tolist(), len(at)], strict=True):
+            # the step into a stretch's first row may be its own first step
+            lo = lo - 1 if lo and joined[lo - 1] else lo
+            if at[hi - 1] - at[lo] <= 2 * reach:
+                continue
+            deep = np.flatnonzero((at[lo:hi] - at[lo] >= reach) & (at[hi - 1] - at[lo:hi] >= reach)) + lo
+            last = at[deep[0] - 1] if len(deep) else 0
+            for i in deep.tolist():
+                if at[i + 1] - last < reach:
+                    stays[i] = False
+                else:
+                    last = at[i]
+        at, own = at[stays], own[stays]
     return at, own
 
 

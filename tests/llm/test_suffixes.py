@@ -168,3 +168,30 @@ def test_earlier_rows_of_batches():
         got += [(at[i], at[j]) for i, j in zip(a, b)]
         held = [at[i] for i in left]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_records_of_long_periods_retain_a_common_place(spark):
+    rng = random.Random(29)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(6))
+    rows, lost = [], 0
+    for period in (*range(17, 34), 1, 2, 7, 15, 16):
+        fixed = [word() for _ in range(min(period, 16))]
+        if period > 16:  # the fixed words make the least window of nearly every record
+            fixed = min(([word() for _ in range(16)] for _ in range(300)), key=lambda f: gram_codes(word_codes(" ".join(f))[0], 16)[0])
+        record = lambda: fixed + [word() for _ in range(period - len(fixed))]  # noqa: E731, B023
+        whole = [w for _ in range(300 // period) for w in record()]
+        for _ in range(12 if period > 16 else 0):
+            a, n = rng.randint(0, len(whole) - 90), rng.choice([50, 50, 51, 60, 80])
+            places = []
+            for text, at in ((whole, a), ([word() for _ in range(20)] + whole[a : a + n] + [word() for _ in range(20)], 20)):
+                found = suffixes.retained(word_codes(" ".join(text))[0], 35)[0]
+                places.append({p - at for p in found.tolist() if at <= p <= at + n - 16})
+            lost += not places[0] & places[1]
+        a = rng.randint(0, len(whole) - 90)
+        rows += [(2 * period, " ".join(whole)), (2 * period + 1, " ".join([word() for _ in range(20)] + whole[a : a + 50] + [word() for _ in range(20)]))]
+    assert not lost
+    got = {r.doc_id: r for r in suffixes.document_repeats(make(spark, rows)).collect()}
+    want = brute(rows, 50)
+    assert {d: spread(r.spans) for d, r in got.items()} == want
+    assert all(spread(r.cuts) == (want[d] if d % 2 else set()) for d, r in got.items())
+    assert len(suffixes.retained(word_codes(" ".join(["same"] * 100_000))[0], 35)[0]) < 4000  # a constant stretch stays thin
