@@ -178,11 +178,10 @@ def _some(texts: list[str | None], words: Vocabulary, most: int) -> Iterator[tup
         yield at, held
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 1, stride: int = 4, batch: int = 4096, rate: float = 0.1, pieces: int = 16) -> Network:
+def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 1, batch: int = 4096, rate: float = 0.1, pieces: int = 16) -> Network:
     """Average of the networks that the tasks train, each over all its documents.
 
-    Of every document each ``stride``-th word is a target, from a place that
-    varies by document; all its words serve as context. A task's network travels
+    Every word of every document is a target once a round. A task's network travels
     as ``pieces`` rows, which are summed by piece; one network reaches the driver.
     """
     spark = docs.sparkSession
@@ -194,12 +193,10 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 1, stride: int
             flat, words = start.value
             own = Network().load(flat)
             memory = [np.zeros_like(p) for p in own.parts]
-            seen, turn = 0, 0
+            seen = 0
             for b in batches:
-                for _, held in _some(b.column(1).to_pylist(), words, batch * stride):
+                for _, held in _some(b.column(1).to_pylist(), words, 4 * batch):
                     around, target, _ = windows(held)
-                    around, target = around[:, turn % stride :: stride], target[turn % stride :: stride]
-                    turn += 1
                     for lo in range(0, len(target), batch):
                         own.step(around[:, lo : lo + batch], target[lo : lo + batch], memory, rate)
                     seen += len(target)

@@ -62,3 +62,12 @@ def test_op10_scores_all_documents_and_order_matters(spark, texts, odd, odd_rows
 def test_counts_cover_all_words(spark, texts):
     docs = make(spark, texts)
     assert lm.word_counts(docs.select("doc_id", "text")).groupBy().sum("n").first()[0] == sum(len(lm.word_codes(t)[0]) for _, t in texts)
+
+
+def test_every_word_is_a_target(spark):
+    docs = make(spark, [(1, "north east south west " * 3000)]).select("doc_id", "text")
+    vocabulary = lm.Vocabulary.of(lm.word_counts(docs))
+    net = lm.train(docs, vocabulary, rounds=15)
+    ids = vocabulary.ids(lm.word_codes("north east south west " * 5)[0])
+    around, target, _ = lm.windows([ids])
+    assert (net.log_probabilities(around, target)[4:12] > -2).all()
