@@ -1,8 +1,11 @@
 """LM scoring by masked pseudo-likelihood: a small network predicts every word from the two words on either side.
 
-Words are ranked by their count over all documents; the most frequent have an
-output each, the others share hashed outputs. The output layer is factored:
-the class of a word, then the word in its class. Every task trains on all its
+Words are ranked by their count over all documents. The output layer is factored:
+the class of a word, then the word in its class. The leaves of the last class are
+branches: all but one lead down a tree to the other words that occur LEAST times
+at least, each with an output and context vectors of its own, so the tables grow
+with the counted words. The last leaf stands for all rarer words, which are
+spelt byte by byte from the byte before. Every task trains on all its
 documents from a common start, the results are averaged by their numbers of
 words, and the average scores every document.
 """
@@ -20,9 +23,14 @@ from pyspark.sql import functions as F
 from millrace.llm.codes import word_codes
 from millrace.llm.shared import documents, small_batches
 
-#: Classes and words a class; the last class is for all words without an output of their own.
+#: Classes and words a class; the last class holds the branches, and its last leaf the words that are spelt.
 SIDE = 32
 SIZE = SIDE * SIDE
+HEAD, BRANCHES, SPELT = SIZE - SIDE, SIDE - 1, SIZE - 1
+#: Count from which a word beyond the first HEAD has an output of its own.
+LEAST = 100
+#: Bytes, and the edge of a word.
+EDGE = 256
 OFFSETS = (-2, -1, 1, 2)
 U = np.uint64
 
@@ -55,38 +63,76 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Codes of the ranked words, sorted, with their ranks."""
+    """Codes of the words with an output of their own, sorted, with their ids: rank below HEAD, or SIZE + 1 and on (SIZE is the edge of a text)."""
 
     codes: np.ndarray
     ranks: np.ndarray
+    tail: int = 0
 
     @classmethod
     def of(cls, counts: DataFrame) -> Vocabulary:
-        """The SIZE - SIDE most frequent words (ties by code); no more rows than that come to the driver."""
-        top = counts.orderBy(F.desc("n"), "code").limit(SIZE - SIDE).collect()
-        codes = np.array([r.code for r in top], dtype=np.int64).view(U)
+        """The HEAD most frequent words (ties by code), and all others of count LEAST at least."""
+        top = counts.where(F.col("n") >= LEAST).select("code", "n").toArrow()
+        if top.num_rows < HEAD:
+            top = counts.orderBy(F.desc("n"), "code").limit(HEAD).select("code", "n").toArrow()
+        codes, n = top["code"].to_numpy(), top["n"].to_numpy()
+        codes = codes[np.lexsort((codes, -n))].view(U)
+        ids = np.arange(len(codes), dtype=np.int32)
+        ids[HEAD:] += SIZE + 1 - HEAD
         order = np.argsort(codes)
-        return cls(codes[order], order.astype(np.int32))
+        return cls(codes[order], ids[order], max(0, len(codes) - HEAD))
 
     def ids(self, codes: np.ndarray) -> np.ndarray:
-        """Rank of each word; hashed into the last class where it has none."""
-        rest = (SIZE - SIDE + (codes >> U(40)) % U(SIDE)).astype(np.int32)
+        """Id of each word; SPELT where it has none of its own."""
         if not len(self.codes):
-            return rest
+            return np.full(len(codes), SPELT, np.int32)
         at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        return np.where(self.codes[at] == codes, self.ranks[at], rest)
+        return np.where(self.codes[at] == codes, self.ranks[at], SPELT).astype(np.int32)
+
+
+def pairs_of_bytes(text: str | None, spelt: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The byte pairs, as numbers, of the words that are spelt, edges included, one word after the other; and each word's number of pairs."""
+    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), dtype=np.uint8)
+    starts, sizes = starts[spelt], (ends - starts)[spelt] + 1
+    total = int(sizes.sum())
+    begin = np.cumsum(sizes) - sizes
+    place = np.arange(total) - np.repeat(begin, sizes)
+    here = np.repeat(starts, sizes) + place
+    last = place == np.repeat(sizes, sizes) - 1
+    now = np.where(last, EDGE, data[np.minimum(here, len(data) - 1)].astype(np.int64)) if total else place
+    before = np.where(place == 0, EDGE, data[np.maximum(here - 1, 0)].astype(np.int64)) if total else place
+    return before * (EDGE + 1) + now, sizes
 
 
 class Network:
-    """tanh of the summed context vectors (one table per offset; row SIZE, the edge of the text, stays 0), then class and word in class."""
+    """tanh of the summed context vectors (one table per offset; row SIZE, the edge of the text, stays 0), then class, word in class, and the tree below the branches.
+
+    ``tail`` words stand below the branches; word k below branch k % BRANCHES,
+    where the digits of k // BRANCHES in base SIDE are its path.
+    """
 
-    def __init__(self, dim: int = 16, seed: int = 10):
+    def __init__(self, dim: int = 16, seed: int = 10, tail: int = 0):
         rng = np.random.default_rng(seed)
         f = np.float32
         self.parts = [
             np.concatenate([rng.normal(0, 0.1, (len(OFFSETS), SIZE, dim)), np.zeros((len(OFFSETS), 1, dim))], axis=1).astype(f),
             rng.normal(0, 0.1, (SIDE, dim)).astype(f), np.zeros(SIDE, f), rng.normal(0, 0.1, (SIDE, SIDE, dim)).astype(f), np.zeros((SIDE, SIDE), f),
         ]
+        self.tail, most = tail, -(-tail // BRANCHES)
+        self.levels: list[tuple[int, int, int]] = []  # first node, nodes a branch, words below a child
+        below, first = 1, 0
+        while below < most:
+            below *= SIDE
+        below = max(1, below // SIDE) if tail else 0
+        while below:
+            self.levels.append((first, -(-most // (below * SIDE)), below))
+            first += BRANCHES * self.levels[-1][1]
+            below //= SIDE
+        more = rng.normal(0, 0.1, (len(OFFSETS), tail, dim)).astype(f)
+        self.parts[0] = np.concatenate([self.parts[0], more], axis=1)
+        self.parts += [rng.normal(0, 0.1, (first, SIDE, dim)).astype(f), np.zeros((first, SIDE), f)]
+        #: Spelling: counts of byte pairs; log-probabilities follow from them.
+        self.spelling = np.zeros((EDGE + 1) ** 2)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts])
@@ -105,6 +151,32 @@ class Network:
             h += table[x]
         return np.tanh(h, out=h)
 
+    @staticmethod
+    def _leaf(target: np.ndarray) -> np.ndarray:
+        """The leaf of the last class, for words below a branch."""
+        return np.where(target > SIZE, HEAD + (target - SIZE - 1) % BRANCHES, target)
+
+    def _path(self, target: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per level, of words below a branch: node, child, and which children there are."""
+        k = target.astype(np.int64) - SIZE - 1
+        branch, q = k % BRANCHES, k // BRANCHES
+        words = (self.tail - branch + BRANCHES - 1) // BRANCHES
+        for first, wide, below in self.levels:
+            prefix = q // (below * SIDE)
+            there = (prefix[:, None] * SIDE + np.arange(SIDE)) * below < words[:, None]
+            yield first + branch * wide + prefix, q // below % SIDE, there
+
+    def _choice(self, h: np.ndarray, node: np.ndarray, there: np.ndarray) -> np.ndarray:
+        z = np.matmul(self.parts[5][node], h[:, :, None])[:, :, 0] + self.parts[6][node]
+        return self._log_softmax(np.where(there, z, np.float32(-1e9)))
+
+    def spell(self) -> np.ndarray:
+        """Log-probability of each byte or the edge after each, every one counted once more."""
+        n = self.spelling.reshape(EDGE + 1, EDGE + 1) + 1
+        n[EDGE, EDGE] = 0  # no word is empty
+        with np.errstate(divide="ignore"):
+            return np.log(n / n.sum(axis=1, keepdims=True)).ravel()
+
     @staticmethod
     def _log_softmax(z: np.ndarray) -> np.ndarray:
         z -= z.max(axis=1, keepdims=True)
@@ -112,21 +184,26 @@ class Network:
 
     def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         h = self._hidden(around)
-        kind, word = target // SIDE, target % SIDE
+        leaf = self._leaf(target)
+        kind, word = leaf // SIDE, leaf % SIDE
         out = self._log_softmax(h @ self.parts[1].T + self.parts[2])[np.arange(len(target)), kind]
         order = np.argsort(kind, kind="stable")
         edges = np.searchsorted(kind[order], np.arange(SIDE + 1))
         for c in np.flatnonzero(edges[1:] > edges[:-1]):
             rows = order[edges[c] : edges[c + 1]]
             out[rows] += self._log_softmax(h[rows] @ self.parts[3][c].T + self.parts[4][c])[np.arange(len(rows)), word[rows]]
+        deep = np.flatnonzero(target > SIZE)
+        for node, child, there in self._path(target[deep]):
+            out[deep] += self._choice(h[deep], node, there)[np.arange(len(deep)), child]
         return out
 
     def step(self, around: np.ndarray, target: np.ndarray, memory: list[np.ndarray], rate: float) -> None:
         """One Adagrad step on the mean negative log-probability."""
-        tables, cw, cb, ww, wb = self.parts
+        tables, cw, cb, ww, wb, tw, tb = self.parts
         n = len(target)
         h = self._hidden(around)
-        kind, word = target // SIDE, target % SIDE
+        leaf = self._leaf(target)
+        kind, word = leaf // SIDE, leaf % SIDE
         g = np.exp(self._log_softmax(h @ cw.T + cb))
         g[np.arange(n), kind] -= 1
         dh, dcw, dcb = g @ cw, g.T @ h, g.sum(axis=0)
@@ -139,17 +216,33 @@ class Network:
             p[np.arange(len(rows)), word[rows]] -= 1
             dww[c], dwb[c] = p.T @ h[rows], p.sum(axis=0)
             dh[rows] += p @ ww[c]
+        changes = [(p, m, slice(None), d) for p, m, d in zip((cw, cb, ww, wb), memory[1:5], (dcw, dcb, dww, dwb), strict=True)]
+        deep = np.flatnonzero(target > SIZE)
+        for node, child, there in self._path(target[deep]) if len(deep) else ():
+            p = np.exp(self._choice(h[deep], node, there))
+            p[np.arange(len(deep)), child] -= 1
+            dh[deep] += np.matmul(p[:, None, :], tw[node])[:, 0, :]
+            order, first, own = self._groups(node)
+            changes.append((tw, memory[5], own, np.add.reduceat((p[:, :, None] * h[deep][:, None, :])[order], first, axis=0)))
+            changes.append((tb, memory[6], own, np.add.reduceat(p[order], first, axis=0)))
         dh *= 1 - h * h
-        dt = np.zeros_like(tables)
         for i, x in enumerate(around):
-            order = np.argsort(x, kind="stable")
-            first = np.flatnonzero(np.concatenate([[True], np.diff(x[order]) > 0]))
-            dt[i, x[order][first]] = np.add.reduceat(dh[order], first, axis=0)
-        dt[:, SIZE] = 0
-        for p, d, m in zip(self.parts, (dt, dcw, dcb, dww, dwb), memory, strict=True):
-            d /= n
-            m += d * d
-            p -= rate * d / (np.sqrt(m) + 1e-6)
+            order, first, own = self._groups(x)
+            d = np.add.reduceat(dh[order], first, axis=0)
+            d[own == SIZE] = 0
+            changes.append((tables[i], memory[0][i], own, d))
+        # rows without a gradient stay as they are
+        for p, m, rows, d in changes:
+            d = d / np.float32(n)
+            m[rows] += d * d
+            p[rows] -= rate * d / (np.sqrt(m[rows]) + 1e-6)
+
+    @staticmethod
+    def _groups(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Order that brings equal values together, where each value begins in it, and the values."""
+        order = np.argsort(x, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(x[order]) > 0]))
+        return order, first, x[order][first]
 
 
 def windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,74 +254,90 @@ def windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.stack([line[at + o] for o in OFFSETS]), line[at], np.cumsum(sizes) - sizes
 
 
-def _some(texts: list[str | None], words: Vocabulary, most: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
-    """Texts' word ids, in groups of about ``most`` words; with their indexes."""
+def _some(texts: list[str | None], words: Vocabulary, most: int) -> Iterator[tuple[list[int], list[np.ndarray], list[np.ndarray]]]:
+    """Texts' word ids, in groups of about ``most`` words; with their indexes and the byte pairs of their spelt words."""
     at: list[int] = []
     held: list[np.ndarray] = []
+    pairs: list[np.ndarray] = []
     size = 0
     for i, text in enumerate(texts):
-        ids = words.ids(word_codes(text)[0])
+        codes, starts, ends = word_codes(text)
+        ids = words.ids(codes)
         at.append(i)
         held.append(ids)
+        pairs.append(pairs_of_bytes(text, ids == SPELT, starts, ends)[0])
         size += len(ids)
         if size >= most:
-            yield at, held
-            at, held, size = [], [], 0
+            yield at, held, pairs
+            at, held, pairs, size = [], [], [], 0
     if at:
-        yield at, held
+        yield at, held, pairs
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 1, batch: int = 4096, rate: float = 0.1, pieces: int = 16) -> Network:
+def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 1, batch: int = 4096, rate: float = 0.1, piece: int = 65536) -> Network:
     """Average of the networks that the tasks train, each over all its documents.
 
     Every word of every document is a target once a round. A task's network travels
-    as ``pieces`` rows, which are summed by piece; one network reaches the driver.
+    in rows of ``piece`` numbers, which are averaged by piece, followed by its
+    counts of byte pairs; one network reaches the driver.
     """
     spark = docs.sparkSession
-    net = Network()
+    net = Network(tail=vocabulary.tail)
     for _ in range(rounds):
         start = spark.sparkContext.broadcast((net.flat(), vocabulary))
 
         def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             flat, words = start.value
-            own = Network().load(flat)
+            own = Network(tail=words.tail).load(flat)
             memory = [np.zeros_like(p) for p in own.parts]
             seen = 0
             for b in batches:
-                for _, held in _some(b.column(1).to_pylist(), words, 4 * batch):
+                for _, held, pairs in _some(b.column(1).to_pylist(), words, 4 * batch):
+                    own.spelling += np.bincount(np.concatenate(pairs), minlength=(EDGE + 1) ** 2)
                     around, target, _ = windows(held)
                     for lo in range(0, len(target), batch):
                         own.step(around[:, lo : lo + batch], target[lo : lo + batch], memory, rate)
                     seen += len(target)
             if seen:
-                parts = np.array_split(own.flat().astype(np.float64) * seen, pieces)
-                yield pa.RecordBatch.from_arrays([pa.array(range(pieces), pa.int32()), pa.array([seen] * pieces, pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())], ["piece", "seen", "data"])
+                flat = own.flat()
+                parts = [flat[lo : lo + piece].tobytes() for lo in range(0, len(flat), piece)]
+                for lo in range(0, len(parts), 16):
+                    some = parts[lo : lo + 16]
+                    yield pa.RecordBatch.from_arrays([pa.array(range(lo, lo + len(some)), pa.int32()), pa.array([seen] * len(some), pa.int64()), pa.array(some, pa.binary())], ["piece", "seen", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([seen], pa.int64()), pa.array([own.spelling.tobytes()], pa.binary())], ["piece", "seen", "data"])
 
         def add(table: pa.Table) -> pa.Table:
-            total = np.sum([np.frombuffer(x.as_py(), np.float64) for x in table["data"]], axis=0)
-            seen = int(np.sum(table["seen"].to_numpy()))
-            return pa.table({"piece": table["piece"][:1], "data": pa.array([(total / seen).astype(np.float32).tobytes()], pa.binary())})
+            spelling = table["piece"][0].as_py() < 0
+            total, seen = 0.0, 0
+            for n, data in zip(table["seen"].to_pylist(), table["data"], strict=True):
+                total = total + (np.frombuffer(data.as_buffer(), np.float64) if spelling else np.frombuffer(data.as_buffer(), np.float32).astype(np.float64) * n)
+                seen += n
+            data = total if spelling else (total / seen).astype(np.float32)
+            return pa.table({"piece": table["piece"][:1], "data": pa.array([data.tobytes()], pa.binary())})
 
         summed = docs.mapInArrow(run, "piece int, seen long, data binary").groupBy("piece").applyInArrow(add, "piece int, data binary").collect()
         if summed:
-            net.load(np.concatenate([np.frombuffer(r.data, np.float32) for r in sorted(summed, key=lambda r: r.piece)]))
+            summed = sorted(summed, key=lambda r: r.piece)
+            net.spelling = np.frombuffer(summed[0].data, np.float64)
+            net.load(np.concatenate([np.frombuffer(r.data, np.float32) for r in summed[1:]]))
     return net
 
 
 def score(docs: DataFrame, net: Network, vocabulary: Vocabulary, batch: int = 16384) -> DataFrame:
     """Per row: doc_id, n_words, log_likelihood (sum over all words) and its mean (null without words)."""
-    model = docs.sparkSession.sparkContext.broadcast((net.flat(), vocabulary))
+    model = docs.sparkSession.sparkContext.broadcast((net.flat(), net.spell(), vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, words = model.value
-        net = Network().load(flat)
+        flat, spell, words = model.value
+        net = Network(tail=words.tail).load(flat)
         for b in batches:
             n, total = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
-            for at, held in _some(b.column(1).to_pylist(), words, batch):
+            for at, held, pairs in _some(b.column(1).to_pylist(), words, batch):
                 around, target, _ = windows(held)
                 found = np.concatenate([net.log_probabilities(around[:, lo : lo + batch], target[lo : lo + batch]) for lo in range(0, len(target), batch)] or [np.zeros(0)])
                 sizes = np.array([len(x) for x in held])
                 total[at] = np.bincount(np.repeat(np.arange(len(held)), sizes), found, len(held))
+                total[at] += [spell[p].sum() for p in pairs]
                 n[at] = sizes
             mean = pa.array(np.round(total / np.maximum(n, 1), 6), mask=n == 0)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(np.round(total, 4)), mean], ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])

@@ -71,3 +71,27 @@ def test_every_word_is_a_target(spark):
     ids = vocabulary.ids(lm.word_codes("north east south west " * 5)[0])
     around, target, _ = lm.windows([ids])
     assert (net.log_probabilities(around, target)[4:12] > -2).all()
+
+
+def test_every_counted_word_has_an_output_and_rare_words_are_spelt(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(2500)]
+    rows = [(i, " ".join(rng.sample(words, len(words)))) for i in range(lm.LEAST)] + [(1000 + i, f"rareword{i} other{i}") for i in range(300)]
+    docs = make(spark, rows).select("doc_id", "text")
+    vocabulary = lm.Vocabulary.of(lm.word_counts(docs))
+    ids = vocabulary.ids(lm.word_codes(" ".join(words))[0])
+    assert len(set(ids.tolist())) == len(set(words)) and lm.SPELT not in ids and vocabulary.tail == len(set(words)) - lm.HEAD
+    net = lm.Network(dim=4, tail=40_000)
+    every = np.concatenate([np.arange(lm.HEAD), np.arange(lm.SIZE + 1, lm.SIZE + 40_001), [lm.SPELT]]).astype(np.int32)
+    around = np.repeat(np.array([[5], [lm.SIZE], [lm.SIZE + 9000], [lm.SPELT]], np.int32), len(every), axis=1)
+    found = net.log_probabilities(around, every)
+    assert abs(np.exp(found).sum() - 1) < 1e-3
+    target, memory = rng.sample(every.tolist(), 50), [np.zeros_like(p) for p in net.parts]
+    target, around = np.array(target, np.int32), np.array([rng.sample(every.tolist(), 50) for _ in range(4)], np.int32)
+    before = net.log_probabilities(around, target).mean()
+    for _ in range(60):
+        net.step(around, target, memory, 0.05)
+    assert net.log_probabilities(around, target).mean() > before + 1
+    net = lm.train(docs, vocabulary)
+    scored = {r.doc_id: r.log_likelihood for r in lm.score(make(spark, [(1, "rareword7"), (2, "xqzjkvwy7"), (3, None)]).select("doc_id", "text"), net, vocabulary).collect()}
+    assert scored[1] > scored[2] + 10 and scored[3] == 0
