@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
+import re
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import group_id, stable_hash
+from millrace.functions.scalars import casefold, group_id, stable_hash
 
 # The split shares by volume, and the mode mix.
 BANDS = ((200, 0.70, 0.88), (1000, 0.75, 0.90), (None, 0.80, 0.90))
@@ -27,10 +33,66 @@ def band_split(docs: DataFrame, key: str, total: Column) -> Column:
     return split
 
 
-def split_families(docs: DataFrame) -> DataFrame:
-    """Each family goes to one split. The volume is counted before, so no window spans the table."""
+def minhash(text: str | None, permutations: int = 128) -> list[int]:
+    """Minima of salted SHA-256 over the 5-word shingles (first 8 bytes, big-endian, as signed longs); empty without words."""
+    words = re.sub(r"[^a-z0-9 ]", " ", re.sub(r"\s+", " ", text or "").casefold()).split()
+    grams = {" ".join(words[i : i + 5]).encode() for i in range(max(1, len(words) - 4))} if words else set()
+    return [int.from_bytes(min(hashlib.sha256(str(i).encode() + g).digest()[:8] for g in grams), "big", signed=True) for i in range(permutations)] if grams else []
+
+
+def estimated_jaccard(a: Column, b: Column) -> Column:
+    """Share of equal positions; 0 where one is empty or they differ in length."""
+    same = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x))
+    return F.when((F.size(a) == F.size(b)) & (F.size(a) > 0), same / F.size(a)).otherwise(F.lit(0.0))
+
+
+def near_dup_pairs(docs: DataFrame, threshold: float = 0.85, permutations: int = 128) -> DataFrame:
+    """(a, b) of documents whose estimated Jaccard is ``threshold`` at least; equal signatures pair with their least document only.
+
+    Two signatures that differ in ``d`` places at most agree on the whole of one
+    of d + 1 bands, so no pair is lost. Signatures of large near-copy groups
+    are compared pair by pair.
+    """
+    from millrace.llm.shared import materialize
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([minhash(t, permutations) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))], ["doc_id", "sig"])
+
+    signed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, sig array<long>")
+    signed = materialize(signed.where(F.size("sig") > 0), "signatures")
+    reps = signed.groupBy("sig").agg(F.min("doc_id").alias("rep"))
+    equal = signed.join(reps, "sig").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    bands = permutations - math.ceil(threshold * permutations - 1e-9) + 1
+    edges = [i * permutations // bands for i in range(bands + 1)]
+    keys = F.array(*(F.xxhash64(F.lit(i), F.slice("sig", edges[i] + 1, edges[i + 1] - edges[i])) for i in range(bands)))
+    banded = reps.select("rep", F.explode(keys).alias("key"))
+    pairs = banded.select(F.col("rep").alias("a"), "key").join(banded.select(F.col("rep").alias("b"), "key"), "key").where("a < b").select("a", "b").distinct()
+    pairs = pairs.join(reps.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(reps.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
+    return pairs.where(estimated_jaccard(F.col("sa"), F.col("sb")) >= threshold).select("a", "b").union(equal)
+
+
+def assign_groups(docs: DataFrame, identity: tuple[str, ...] = (), layout: str | None = None, threshold: float = 0.85) -> DataFrame:
+    """Add family and members as exact_families does; documents linked by identity columns, equal text, layout column or near-duplicate text are one family, transitively."""
+    from millrace.llm.graph import components
+
+    canon = [F.nullif(F.trim(F.regexp_replace(casefold(F.col(c).cast("string")), r"[^a-z0-9]+", " ")), F.lit("")) for c in identity]
+    keys = [F.sha2("text", 256)] + ([F.nullif(F.col(layout), F.lit(""))] if layout else [])
+    if canon:
+        keys.append(F.when(F.coalesce(*canon).isNotNull(), F.concat_ws("|", *(F.coalesce(c, F.lit("-")) for c in canon))))
+    edges = near_dup_pairs(docs, threshold)
+    for key in keys:
+        own = docs.select(F.col("doc_id").cast("long").alias("b"), key.alias("key")).where("key IS NOT NULL")
+        edges = edges.union(own.select(F.min("b").over(Window.partitionBy("key")).alias("a"), "b"))
+    labels = components(edges)
+    joined = docs.join(labels.select(F.col("node").alias("doc_id"), F.col("label").alias("_least")), "doc_id", "left").withColumn("_least", F.coalesce("_least", "doc_id"))
+    return joined.withColumns({"family": group_id(F.col("_least")), "members": F.count("*").over(Window.partitionBy("_least"))}).drop("_least")
+
+
+def split_families(docs: DataFrame, families: Callable[[DataFrame], DataFrame] = exact_families) -> DataFrame:
+    """Each family goes to one split; with assign_groups as ``families`` near copies share it. The volume is counted before, so no window spans the table."""
     n = docs.count()
-    return exact_families(docs).withColumn("split", band_split(docs, "family", F.lit(n)))
+    return families(docs).withColumn("split", band_split(docs, "family", F.lit(n)))
 
 
 def leakage(docs: DataFrame, key: str) -> DataFrame:
