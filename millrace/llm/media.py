@@ -156,7 +156,7 @@ def store_texts(docs: DataFrame, width: int = 64) -> DataFrame:
 
 
 def digests(stored: DataFrame) -> DataFrame:
-    """Per stored picture: digests of the pixels read back and of the file, the difference hash and the digest of a 16 x 16 NPY tile."""
+    """Per stored picture: digests of the pixels read back and of the file, the difference hash and the digest of a 16 x 16 NPY tile, written to the shared folder and read back."""
     small_batches(stored.sparkSession)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,14 +166,15 @@ def digests(stored: DataFrame) -> DataFrame:
                 pixels = decode_image(data)
                 payload = pixels.tobytes()
                 tile = npy_bytes(np.rint(area_resize(pixels, 16, 16)).astype(np.uint8))
-                row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), difference_hash(pixels), zlib.crc32(tile))
+                row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), difference_hash(pixels), tile)
                 for c, x in zip(cols, row, strict=True):
                     c.append(x)
-            names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile_crc32"]
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
+            names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile"]
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names)
 
-    return stored.mapInArrow(read, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile_crc32 long")
+    tiled = materialize(stored.mapInArrow(read, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile binary"), "tiles")
+    return tiled.select(*tiled.columns[:-1], F.crc32("tile").alias("tile_crc32"))
 
 
 def op3_media(spark, sf_dir: str) -> DataFrame:

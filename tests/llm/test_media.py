@@ -2,12 +2,14 @@ import hashlib
 import io
 import struct
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from millrace.llm import media
-from tests.llm.conftest import SF
+from millrace.llm.shared import shared_dir
+from tests.llm.conftest import SF, make
 
 
 def bmp(pixels, bits=24, top_down=False):
@@ -77,3 +79,18 @@ def test_odd_rows(spark, odd, odd_rows, empty):
     broken = spark.createDataFrame([(1, bytearray(b"P5\n9 9\n255\nxx")), (2, None), (3, bytearray(media.encode_pgm(np.eye(4, dtype=np.uint8))))], "doc_id long, media binary")
     rows = {r.doc_id: r for r in media.media_features(broken).collect()}
     assert rows[1].error and rows[2].error and rows[3].error is None and rows[3].dhash
+
+
+def test_tiles_are_written(spark):
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "millrace"
+    before = set(folder.glob("tiles-*"))
+    texts = {1: "some text " * 200, 2: None}
+    got = {r.doc_id: r for r in media.digests(media.store_texts(make(spark, texts.items()))).collect()}
+    (new,) = set(folder.glob("tiles-*")) - before
+    for r in spark.read.parquet(str(new)).collect():
+        data = (texts[r.doc_id] or "").encode()
+        data += bytes(max(64, -(-len(data) // 64) * 64) - len(data))
+        pixels = np.frombuffer(data, np.uint8).reshape(-1, 64)
+        tile = np.load(io.BytesIO(bytes(r.tile)))
+        assert tile.shape == (16, 16) and (tile == np.rint(media.area_resize(pixels, 16, 16))).all()
+        assert got[r.doc_id].tile_crc32 == zlib.crc32(bytes(r.tile))
