@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: prefix index lists with block skipping by size and position, answers derived from similar sets' answers.
+"""N-gram Jaccard join: prefix index lists with blocks skipped by size; pairs of connected sets are not compared.
 
 1. Equal sets are one set. Words and n-grams are 64-bit codes.
 2. Tokens are ordered rarest first by a frequency table of fixed size. Of a set
@@ -10,8 +10,8 @@
    near copies with few labels.
 4. Last pass: a set of a list is compared with those of other labels alone; a
    pair of equal label is connected already, which is all that its comparison
-   could tell (the answer is derived). Blocks of a list whose sizes or positions
-   rule out a link are skipped whole. Pairs whose sketches or shared index
+   could tell. Blocks of a list whose sizes rule out a link are skipped whole;
+   positions are tested pair by pair. Pairs whose sketches or shared index
    entries rule out the overlap are dropped, which is exact; the rest are verified on their
    texts.
 """
@@ -195,7 +195,7 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
                     ys = slice(y, min(hi, y + BLOCK))
                     for x in range(lo, y + 1, BLOCK):
                         xs = slice(x, min(hi, x + BLOCK))
-                        # the whole block is too small for the smallest set there, or all positions are too far apart
+                        # the whole block is too small for the smallest set there
                         if int(n[xs][-1]) * 100 < percent * int(n[ys][0]):
                             continue
                         na, nb, pa_, pb = n[xs, None].astype(np.int64), n[None, ys].astype(np.int64), pos[xs, None].astype(np.int64), pos[None, ys].astype(np.int64)
