@@ -1,19 +1,24 @@
-"""N-gram Jaccard join: prefix index lists with blocks skipped by size; pairs of connected sets are not compared.
+"""N-gram Jaccard join by set relations: index lists skipped in blocks by position, answers derived from similar sets.
 
-1. Equal sets are one set. Words and n-grams are 64-bit codes.
+1. Equal sets are one set. Words and n-grams are 64-bit codes, sets have 64-bit
+   ids (among N different sets about N * N / 2^65 pairs are taken for equal).
 2. Tokens are ordered rarest first by a frequency table of fixed size. Of a set
    of n tokens, the first n - ceil(t n) + 1 enter the index: two sets of
-   similarity t share one of those.
-3. First passes over the index lists: each label's best candidates are compared
-   with pivots of its lists, one pivot in the first pass, several of the long
-   lists after it. Sets that link get one label; a few passes leave groups of
-   near copies with few labels.
-4. Last pass: a set of a list is compared with those of other labels alone; a
-   pair of equal label is connected already, which is all that its comparison
-   could tell. Blocks of a list whose sizes rule out a link are skipped whole;
-   positions are tested pair by pair. Pairs whose sketches or shared index
-   entries rule out the overlap are dropped, which is exact; the rest are verified on their
-   texts.
+   similarity t share one of those. Lists that hold the same sets become one
+   list with the number of their tokens.
+3. Star passes: each label's best candidates are compared with pivots of its
+   lists. Sets that link get one label; what a set shares with its nearest
+   pivot is kept as their relation. The passes only save work: whatever they
+   leave open, the last pass compares.
+4. Last pass: lists are cut into blocks by size and position. Two blocks are
+   skipped whole where their sizes, positions or labels rule out every link
+   between them (a pair of equal label is connected already). Pairs whose
+   positions, sketches or shared index entries rule out the overlap are dropped,
+   which is exact. A list of many sets is dealt out by pairs of its shares.
+5. Answers of the pairs left are derived from those of their pivots. The number
+   of tokens in which two sets differ is a metric, so the pivots' answer and both
+   relations bound it: most pairs link or don't without being read. Only the
+   others are compared on their texts.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.codes import shingle_set
@@ -32,12 +37,15 @@ from millrace.llm.shared import documents, materialize, small_batches
 
 #: Buckets of the frequency table (4 MB) and of the table of wanted texts.
 BUCKETS = 1 << 20
-#: Tokens whose counts a task holds before it hands them on.
+#: Tokens, or pairs, that a task holds before it hands them on.
 HELD = 4_000_000
-BLOCK = 1024
-#: Entries of a list that count as many, and how often stars are drawn before all pairs of different labels.
+#: Equal sets that a task remembers; those beyond are handed on once more and merged by the shuffle.
+REMEMBERED = 1_000_000
+#: Entries of a block, of a list that is compared without blocks, and of a share of a long list.
+BLOCK, SHORT, SHARE = 256, 64, 4096
+#: Entries of a list that count as many, and star passes at most. Neither changes the result.
 LONG, ROUNDS = 16, 4
-#: Pivots of a run of a long list after the first round.
+#: Pivots of a run of a long list after the first pass.
 PIVOTS = 16
 #: Columns of a set's sketch.
 SKETCH = ("s0", "s1", "s2", "s3")
@@ -90,7 +98,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                 own = _set_id(tokens) if len(tokens) else None
                 rows.append((0, doc, key, len(tokens), own, *_sketch(tokens)))
                 if own is not None and own not in seen:
-                    if len(seen) < 1_000_000:
+                    if len(seen) < REMEMBERED:
                         seen.add(own)
                     held.append(tokens)
                     size += len(tokens)
@@ -118,7 +126,7 @@ def _index(docs: DataFrame, width: int, percent: int, table) -> DataFrame:
                 n = len(tokens)
                 if not n or (own := _set_id(tokens)) in seen:
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < REMEMBERED:
                     seen.add(own)
                 keep = n - -(-percent * n // 100) + 1
                 order = np.lexsort((tokens, often[(tokens % np.uint64(BUCKETS)).astype(np.int64)]))[:keep]
@@ -130,19 +138,39 @@ def _index(docs: DataFrame, width: int, percent: int, table) -> DataFrame:
     return docs.mapInArrow(run, "token long, id long, n int, pos int")
 
 
-def _by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Columns of sorted batches, cut so that no list (equal first column) is split unless it is longer than a batch."""
-    rest: list[np.ndarray] | None = None
+def _by_list(batches: Iterator[pa.RecordBatch], most: int = 50_000) -> Iterator[list[np.ndarray]]:
+    """Columns of sorted batches, ``most`` rows or so at a time, cut so that no list (equal first column) is split."""
+    held: list[list[np.ndarray]] = []
+    size = 0
     for batch in batches:
-        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        if rest is not None:
-            cols = [np.concatenate(x) for x in zip(rest, cols, strict=True)]
-        cut = int(np.searchsorted(-(cols[0] != cols[0][-1]).astype(np.int8), 0)) if len(cols[0]) else 0
+        if not batch.num_rows:
+            continue
+        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        size += batch.num_rows
+        if size < most:
+            continue
+        cols = [np.concatenate(x) for x in zip(*held, strict=True)]
+        other = np.flatnonzero(cols[0] != cols[0][-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
         if cut:
             yield [c[:cut] for c in cols]
-        rest = [c[cut:] for c in cols]
-    if rest is not None and len(rest[0]):
-        yield rest
+        held, size = [[c[cut:] for c in cols]], size - cut
+    if size:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
+def _lists(index: DataFrame, parts: int) -> DataFrame:
+    """(list, id, n, pos, many): the index lists of two sets or more; those of the same sets are one list, with the position of their least token and their number.
+
+    A list's key is a hash of its sets. Should two keys meet, their rows only
+    stand in one list, which adds candidates and loses none.
+    """
+    by_token = Window.partitionBy("token")
+    # rows of a token meet in one partition, so that neither step below shuffles again
+    once = index.repartition(parts, "token").groupBy("token", "id", "n", "pos").agg(F.lit(1).alias("_one"))
+    named = once.withColumns({"_sets": F.count("*").over(by_token), "_x": F.bit_xor(F.xxhash64("id")).over(by_token), "_y": F.bit_xor(F.xxhash64(F.lit(7), "id")).over(by_token)})
+    merged = named.where("_sets > 1").groupBy("_sets", "_x", "_y", "id", "n").agg(F.min(F.struct("token", "pos")).alias("_at"), F.count("*").cast("int").alias("many"))
+    return merged.select(F.xxhash64("_sets", "_x", "_y").alias("list"), "id", "n", F.col("_at.pos").alias("pos"), "many")
 
 
 def _stars(lists: DataFrame, percent: int, turn: int, pivots: int, tried: DataFrame | None) -> DataFrame:
@@ -156,13 +184,13 @@ def _stars(lists: DataFrame, percent: int, turn: int, pivots: int, tried: DataFr
     scramble = np.uint64(0x9E3779B97F4A7C15 * (2 * turn + 1) % 2**64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, own, n, label, *bits in _by_list(batches):
+        for unit, own, n, label, many, *bits in _by_list(batches):
             sketch = np.stack(bits, axis=1)
             rank = own.view(np.uint64) * scramble
             rank ^= rank >> np.uint64(29)
-            first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            first = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
             out: list[tuple[np.ndarray, ...]] = []
-            for lo, hi in zip(first, [*first[1:], len(token)], strict=True):
+            for lo, hi in zip(first, [*first[1:], len(unit)], strict=True):
                 while hi - lo > 1:
                     end = lo + int(np.searchsorted(n[lo:hi] * percent, 100 * int(n[lo]), side="right"))
                     for at in lo + np.argsort(rank[lo:end])[:pivots]:
@@ -171,56 +199,134 @@ def _stars(lists: DataFrame, percent: int, turn: int, pivots: int, tried: DataFr
                         near = both - apart >= 2 * _least_shared(n[other].astype(np.int64), int(n[at]), percent)
                         other, apart = other[near], (apart / both)[near]
                         if len(other):
-                            out.append((np.full(len(other), own[at]), own[other], np.full(len(other), n[at]), label[other], apart))
+                            out.append((np.full(len(other), own[at]), own[other], np.full(len(other), n[at]), label[other], apart, many[other]))
                     lo = end
             if out:
-                yield _batch("a b na label apart", (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.float64()), [np.concatenate(c) for c in zip(*out, strict=True)])
+                yield _batch("a b na label apart many", (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.int32()), [np.concatenate(c) for c in zip(*out, strict=True)])
 
-    pairs = lists.select("token", "id", "n", "label", *SKETCH).mapInArrow(run, "a long, b long, na int, label long, apart double")
-    counted = pairs.groupBy("a", "b", "label").agg(F.first("na").alias("na"), F.first("apart").alias("apart"), F.count("*").alias("shared")).where("shared * 33 >= na")
+    # a long list in shares, other ones each turn
+    share = F.pmod(F.xxhash64(F.lit(turn), "id"), F.ceil(F.col("_size") / SHARE))
+    dealt = lists.withColumn("unit", F.xxhash64("list", share)).repartition("unit").sortWithinPartitions("unit", "n", "id")
+    pairs = dealt.select("unit", "id", "n", "label", "many", *SKETCH).mapInArrow(run, "a long, b long, na int, label long, apart double, many int")
+    counted = pairs.groupBy("a", "b", "label").agg(F.first("na").alias("na"), F.first("apart").alias("apart"), F.sum("many").alias("shared"))
     if tried is not None:
         counted = counted.join(tried, ["a", "b"], "left_anti")
     return counted.groupBy("label", F.pmod(F.xxhash64("a", "b"), F.lit(pivots))).agg(F.max(F.struct(F.expr("shared / na - apart"), "a", "b")).alias("best")).select("best.a", "best.b")
 
 
+class _Entries:
+    """Sorted rows of whole lists, and the pairs of them that may link."""
+
+    def __init__(self, cols: list[np.ndarray], percent: int):
+        self.unit, self.own, n, pos, self.label, self.many, self.side, *bits = cols
+        self.n, self.pos, self.percent = n.astype(np.int64), pos.astype(np.int64), percent
+        self.sketch = np.stack(bits, axis=1)
+
+    def may(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Of index pairs, which differ in label, lie on two sides and may share enough tokens by size and position."""
+        na, nb, pa_, pb = self.n[i], self.n[j], self.pos[i], self.pos[j]
+        most = np.minimum(pa_, pb) + np.minimum(na - pa_, nb - pb)
+        enough = most >= _least_shared(na, nb, self.percent)
+        return enough & (self.label[i] != self.label[j]) & ((self.side[i] != self.side[j]) | (self.side[i] == 2)) & (np.minimum(na, nb) * 100 >= self.percent * np.maximum(na, nb))
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        start = np.flatnonzero(np.concatenate([[True], self.unit[1:] != self.unit[:-1]]))
+        stop = np.concatenate([start[1:], [len(self.unit)]])
+        size = stop - start
+        # short lists all at once: each row with the next, the one after that, and so on
+        short = size <= SHORT
+        at = np.concatenate([np.zeros(0, np.int64), *(np.arange(a, b) for a, b in zip(start[short], stop[short], strict=True))]).astype(np.int64)
+        end = np.repeat(stop[short], size[short])
+        step = 1
+        while len(at):
+            go = at + step < end
+            at, end = at[go], end[go]
+            ok = self.may(at, at + step)
+            if ok.any():
+                yield at[ok], at[ok] + step
+            step += 1
+        for a, b in zip(start[~short].tolist(), stop[~short].tolist(), strict=True):
+            yield from self.blocks(a, b)
+
+    def blocks(self, start: int, stop: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of one list, by pairs of blocks whose least and greatest size, position and label allow one."""
+        at = np.arange(start, stop, BLOCK)
+        least = {k: np.minimum.reduceat(getattr(self, k)[:stop], at) for k in ("n", "pos", "label", "side")}
+        most = {k: np.maximum.reduceat(getattr(self, k)[:stop], at) for k in ("n", "pos", "label", "side")}
+        for k, x in enumerate(at.tolist()):
+            sizes = (most["n"][k] * 100 >= self.percent * least["n"][k:]) & (most["n"][k:] * 100 >= self.percent * least["n"][k])
+            shared = np.minimum(most["pos"][k], most["pos"][k:]) + np.minimum(most["n"][k] - least["pos"][k], most["n"][k:] - least["pos"][k:])
+            places = shared >= _least_shared(least["n"][k], least["n"][k:], self.percent)
+            one = lambda c: (least[c][k] == most[c][k]) & (least[c][k:] == least[c][k]) & (most[c][k:] == least[c][k])  # noqa: E731,B023
+            for y in at[k:][sizes & places & ~one("label") & ~(one("side") & (least["side"][k] != 2))].tolist():
+                i, j = (g.ravel() for g in np.meshgrid(np.arange(x, min(stop, x + BLOCK)), np.arange(y, min(stop, y + BLOCK)), indexing="ij"))
+                if x == y:
+                    i, j = i[i < j], j[i < j]
+                ok = self.may(i, j)
+                if ok.any():
+                    yield i[ok], j[ok]
+
+    def found(self) -> Iterator[tuple[np.ndarray, ...]]:
+        """(a, b, na, nb, many) of the pairs that their sketches allow, the smaller id first."""
+        for i, j in self.pairs():
+            na, nb = self.n[i], self.n[j]
+            near = na + nb - 2 * _least_shared(na, nb, self.percent) >= _apart(self.sketch[i], self.sketch[j])
+            i, j = i[near], j[near]
+            if len(i):
+                swap = self.own[i] > self.own[j]
+                i, j = np.where(swap, j, i), np.where(swap, i, j)
+                yield self.own[i], self.own[j], self.n[i], self.n[j], np.minimum(self.many[i], self.many[j]).astype(np.int64)
+
+
+def _summed(held: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    """One row per pair, ``many`` summed."""
+    a, b, na, nb, many = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.lexsort((b, a))
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)]))
+    one = order[first]
+    return [a[one], b[one], na[one], nb[one], np.add.reduceat(many[order], first)]
+
+
 def _across(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b, na, nb, shared) of the pairs of one list whose labels differ and whose sizes, positions and sketches allow a link."""
+    """(a, b, na, nb) of the pairs of one list whose labels differ and whose sizes, positions, sketches and shared entries allow a link.
+
+    A task sums the entries that a pair shares in its lists before it hands
+    them on. A list of more than SHARE sets is cut into shares by a hash of the
+    id; each pair of shares is compared in a place of its own.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, own, n, pos, label, *bits in _by_list(batches):
-            sketch = np.stack(bits, axis=1)
-            first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            for lo, hi in zip(first, [*first[1:], len(token)], strict=True):
-                for y in range(lo, hi, BLOCK):
-                    ys = slice(y, min(hi, y + BLOCK))
-                    for x in range(lo, y + 1, BLOCK):
-                        xs = slice(x, min(hi, x + BLOCK))
-                        # the whole block is too small for the smallest set there
-                        if int(n[xs][-1]) * 100 < percent * int(n[ys][0]):
-                            continue
-                        na, nb, pa_, pb = n[xs, None].astype(np.int64), n[None, ys].astype(np.int64), pos[xs, None].astype(np.int64), pos[None, ys].astype(np.int64)
-                        need = _least_shared(na, nb, percent)
-                        most = np.minimum(pa_, pb) + np.minimum(na - pa_, nb - pb)
-                        ok = (label[xs, None] != label[None, ys]) & (na * 100 >= percent * nb) & (nb * 100 >= percent * na) & (most >= need)
-                        if x == y:
-                            ok &= np.arange(ok.shape[0])[:, None] < np.arange(ok.shape[1])[None, :]
-                        i, j = np.nonzero(ok)
-                        near = (na + nb - 2 * need)[i, j] >= _apart(sketch[xs][i], sketch[ys][j])
-                        i, j = i[near], j[near]
-                        if len(i):
-                            a, b, na, nb = own[xs][i], own[ys][j], n[xs][i], n[ys][j]
-                            swap = a > b
-                            yield _batch("a b na nb", (pa.int64(), pa.int64(), pa.int32(), pa.int32()), (np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)))
-
-    pairs = lists.select("token", "id", "n", "pos", "label", *SKETCH).mapInArrow(run, "a long, b long, na int, nb int")
-    counted = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count("*").alias("shared"))
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+        out = lambda cols: _batch("a b na nb many", (pa.int64(),) * 5, cols)
+        for cols in _by_list(batches):
+            for found in _Entries(cols, percent).found():
+                held.append(found)
+                size += len(found[0])
+                if size > HELD:
+                    merged = _summed(held)
+                    held, size = [tuple(merged)], len(merged[0])
+                    if size > HELD // 2:
+                        yield out(merged)
+                        held, size = [], 0
+        if held:
+            yield out(_summed(held))
+
+    dealt = lists.withColumn("_k", F.ceil(F.col("_size") / SHARE).cast("int")).withColumn("_own", F.pmod(F.xxhash64(F.lit(-1), "id"), F.col("_k")).cast("int"))
+    dealt = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    low, high = F.least("_own", "_with"), F.greatest("_own", "_with")
+    side = F.when(F.col("_own") == F.col("_with"), 2).otherwise((F.col("_own") > F.col("_with")).cast("int")).cast("int")
+    dealt = dealt.withColumns({"unit": F.xxhash64("list", low, high), "side": side, "_class": F.floor(F.log("n") * 50)})
+    dealt = dealt.repartition("unit").sortWithinPartitions("unit", "_class", "pos", "id")
+    pairs = dealt.select("unit", "id", "n", "pos", "label", "many", "side", *SKETCH).mapInArrow(run, "a long, b long, na long, nb long, many long")
+    counted = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("many").alias("shared"))
     # of the set whose index ends first, all shared tokens up to there are in the other's index too
     outside = lambda n: F.expr(f"ceil({percent} * {n} / 100.0) - 1")
-    return counted.where(F.col("shared") + F.greatest(outside("na"), outside("nb")) >= F.expr(f"{percent} * (na + nb) / {100.0 + percent}") - 1e-6)
+    return counted.where(F.col("shared") + F.greatest(outside("na"), outside("nb")) >= F.expr(f"{percent} * (na + nb) / {100.0 + percent}") - 1e-6).drop("shared")
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, star: int = 256) -> DataFrame:
-    """The pairs (a, b) that link. ``texts``: id, text. A pivot's partners are dealt out ``star`` at a time, each share with the pivot's text, and read as a stream."""
+def _compared(pairs: DataFrame, texts: DataFrame, width: int, star: int = 256) -> DataFrame:
+    """(a, b, na, nb, apart) of the pairs (a, b): sizes, and the number of tokens in only one of them. ``texts``: id, text. A pivot's partners are dealt out ``star`` at a time, each share with the pivot's text, and read as a stream."""
     dealt = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.count("*").over(Window.partitionBy("a")) / star)).alias("salt"))
     wanted = dealt.select("a", "salt", F.lit(0).alias("ord"), F.col("a").alias("id")).distinct().union(dealt.select("a", "salt", F.lit(1), "b"))
     rows = wanted.join(texts, "id").select("a", "salt", "ord", "id", "text").repartition("a", "salt").sortWithinPartitions("a", "salt", "ord", "id")
@@ -228,7 +334,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, star:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, pivot = None, None
         for batch in batches:
-            found: list[tuple[int, int]] = []
+            found: list[tuple[int, ...]] = []
             for a, salt, order, own, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tokens = shingle_set(text, width)
                 if order == 0:
@@ -237,19 +343,42 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, star:
                 if at != (a, salt):
                     raise RuntimeError("a pair's first text is missing")
                 same = len(np.intersect1d(pivot, tokens, assume_unique=True))
-                if 100 * same >= percent * (len(pivot) + len(tokens) - same):
-                    found.append((a, own))
+                found.append((a, own, len(pivot), len(tokens), len(pivot) + len(tokens) - 2 * same))
             if found:
-                yield _batch("a b", (pa.int64(), pa.int64()), zip(*found, strict=True))
+                yield _batch("a b na nb apart", (pa.int64(),) * 5, zip(*found, strict=True))
+
+    return rows.mapInArrow(run, "a long, b long, na long, nb long, apart long")
+
 
-    small_batches(pairs.sparkSession)
-    return rows.mapInArrow(run, "a long, b long")
+def _links(apart: Column, percent: int) -> Column:
+    """Whether sets of na and nb tokens that differ in ``apart`` of them have the similarity: 100 * intersection >= percent * union."""
+    return apart * (100 + percent) <= F.lit(100 - percent) * (F.col("na") + F.col("nb"))
 
 
-def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per row of ``docs``: doc_id, hash of the text, n_shingles and the label of its class (null: no words)."""
+def _resolved(pairs: DataFrame, kin: DataFrame, compare, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b, na, nb) that link, derived from the answers of similar sets.
+
+    ``kin``: (id, pivot, far), a set's nearest pivot and the number of tokens in
+    only one of both; a set without one is its own. ``compare`` gives the
+    distances of pairs from their texts. Each pair of pivots is compared once.
+    """
+    ends = []
+    named = pairs
+    for end in ("a", "b"):
+        named = named.join(kin.select(F.col("id").alias(end), F.col("pivot").alias(f"p{end}"), F.col("far").alias(f"f{end}")), end, "left")
+        ends.append(F.coalesce(f"p{end}", end))
+    named = materialize(named.select("a", "b", "na", "nb", F.least(*ends).alias("p"), F.greatest(*ends).alias("q"), (F.coalesce("fa", F.lit(0)) + F.coalesce("fb", F.lit(0))).alias("far")), "named")
+    answers = compare(named.select(F.col("p").alias("a"), F.col("q").alias("b")).distinct()).select(F.col("a").alias("p"), F.col("b").alias("q"), "apart")
+    bounded = materialize(named.join(answers, ["p", "q"]).select("a", "b", "na", "nb", _links(F.col("apart") + F.col("far"), percent).alias("sure"), _links(F.col("apart") - F.col("far"), percent).alias("may")), "bounded")
+    read = compare(bounded.where("may AND NOT sure").select("a", "b"))
+    return bounded.where("sure").select("a", "b").union(read.where(_links(F.col("apart"), percent)).select("a", "b"))
+
+
+def _owners(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Per row of ``docs``: doc_id, hash of the text, size n and id of its set (null: no words). Per id: ``first``, the least (doc_id is null, doc_id, hash) of its class."""
     spark = docs.sparkSession
     small_batches(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.col("text").cast("string").alias("text"))
     first = materialize(_sets(docs, width), "sets")
     rows = first.where("kind = 0").select("doc_id", "hash", "n", "id", *SKETCH)
@@ -259,10 +388,9 @@ def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
     long = _index(docs, width, percent, table).groupBy("token").agg(F.count("*").alias("value")).where(F.col("value") > LONG)
     more = fixed_table(long.select(F.pmod("token", F.lit(BUCKETS)).alias("bucket"), "value"), BUCKETS)
     table = spark.sparkContext.broadcast(often + np.minimum(more, 2**32 - 1 - often))
-    index = _index(docs, width, percent, table).distinct()
-    counted = index.withColumn("_sets", F.count("*").over(Window.partitionBy("token"))).where("_sets > 1").drop("_sets")
-    lists = materialize(counted, "lists")
-    holders = rows.where("id IS NOT NULL").groupBy("id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "hash", *SKETCH)).alias("r")).select("id", F.col("r.doc_id").alias("rep"), *(f"r.{c}" for c in ("hash", *SKETCH)))
+    lists = materialize(_lists(_index(docs, width, percent, table), parts), "lists")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", *SKETCH))
+    holders = rows.where("id IS NOT NULL").groupBy("id").agg(least.alias("r")).select("id", F.col("r.doc_id").alias("rep"), *(f"r.{c}" for c in ("hash", *SKETCH)))
     holders = materialize(holders, "holders")
 
     def texts(pairs: DataFrame) -> DataFrame:
@@ -281,37 +409,45 @@ def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
         near = near.join(wanted.select("id", "hash", F.col("rep")), "hash").where("doc_id <=> rep")
         return near.select("id", "text").dropDuplicates(["id"])
 
-    sorted_lists = lambda df: df.join(holders.select("id", *SKETCH), "id").repartition("token").sortWithinPartitions("token", "n", "id")
-    by_token = Window.partitionBy("token")
+    def compare(pairs: DataFrame) -> DataFrame:
+        pairs = materialize(pairs, "pairs")
+        return materialize(_compared(pairs, texts(pairs), width), "compared")
 
     def divided(label: DataFrame | None) -> DataFrame:
-        """The lists that still hold several labels."""
+        """The lists that still hold several labels, with their sizes and the sets' sketches."""
+        named = lists.join(holders.select("id", *SKETCH), "id")
         if label is None:
-            return lists.withColumns({"label": F.col("id"), "_size": F.count("*").over(by_token)})
-        named = lists.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-        named = named.withColumns({"_lo": F.min("label").over(by_token), "_hi": F.max("label").over(by_token), "_size": F.count("*").over(by_token)})
-        return materialize(named.where("_lo <> _hi").drop("_lo", "_hi"), "divided")
+            named = named.withColumn("label", F.col("id"))
+        else:
+            named = named.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+        sizes = named.groupBy("list").agg(F.count("*").alias("_size"), F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select("list", "_size")
+        return materialize(named.join(sizes, "list"), "divided")
 
-    label = links = tried = None
+    linked = seen = None
     left = divided(None)
     for turn in range(ROUNDS):
         # all lists by one pivot, then the long ones alone by many
         part, pivots = (left.where(F.col("_size") > LONG), PIVOTS) if turn else (left, 1)
-        stars = materialize(_stars(sorted_lists(part), percent, turn, pivots, tried), "stars")
-        tried = stars if tried is None else tried.union(stars)
-        found = materialize(_verify(stars, texts(stars), width, percent), "links")
-        if links is not None and not found.limit(1).count():
-            break
-        links = found if links is None else links.union(found)
-        label = components(links)
-        left = divided(label)
-        if not left.where(F.col("_size") > LONG).limit(1).count():
+        tried = None if seen is None else seen.select("a", "b")
+        found = compare(_stars(part, percent, turn, pivots, tried))
+        n_tried, n_found = found.agg(F.count("*"), F.count_if(_links(F.col("apart"), percent))).first()
+        seen = found if seen is None else seen.union(found)
+        linked = seen.where(_links(F.col("apart"), percent))
+        if n_found:
+            left = divided(components(linked.select("a", "b")))
+        if 10 * n_found < n_tried or not n_found:
             break
-    across = materialize(_across(sorted_lists(left), percent).select("a", "b"), "across")
-    more = materialize(_verify(across, texts(across), width, percent), "links")
-    label = components(links.union(more)).withColumnRenamed("node", "id")
-    found = rows.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    return materialize(found.select("doc_id", "hash", F.col("n").alias("n_shingles"), "label"), "classes")
+    kin = linked.groupBy(F.col("b").alias("id")).agg(F.min(F.struct("apart", "a")).alias("_near")).select("id", F.col("_near.a").alias("pivot"), F.col("_near.apart").alias("far"))
+    more = materialize(_resolved(_across(left, percent), kin, compare, percent), "links")
+    label = components(linked.select("a", "b").union(more)).withColumnRenamed("node", "id")
+    own = holders.select("id", F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("doc_id"), "hash").alias("own"))
+    # a large class in shares: its least row meets them all
+    shares = 32
+    classes = label.join(own, "id")
+    heads = classes.groupBy("label").agg(F.min("own").alias("first")).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    named = classes.withColumn("share", F.pmod("id", F.lit(shares)).cast("int")).join(heads, ["label", "share"]).select("id", "first")
+    owners = own.join(named, "id", "left").select("id", F.coalesce("first", "own").alias("first"))
+    return rows.select("doc_id", "hash", "n", "id"), materialize(owners, "owners")
 
 
 def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -320,23 +456,24 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     Two rows link if their sets' Jaccard similarity is ``percent`` / 100 at
     least; component_id is the smallest doc_id reachable, its own included.
     Rows without words link with nothing. Null doc_ids take part and stay null
-    (a class of nulls only has a null id); repeated rows stay repeated.
+    (a class of nulls only has a null id); repeated rows stay repeated; an empty
+    table gives an empty result; other columns are not read.
     """
-    found = _labelled(docs, width, percent)
-    least = found.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
-    return found.join(least, "label", "left").select("doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    rows, owners = _owners(docs, width, percent)
+    found = rows.join(owners, "id", "left")
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without those whose class has a smaller (doc_id, text hash), nulls last; of repeated rows one stays. Rows without words stay."""
-    found = _labelled(docs, width, percent)
-    first = found.where("label IS NOT NULL").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first"))
-    key = F.xxhash64("doc_id", "hash").alias("_mr_key")
-    later = found.join(first, "label").where(~(F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.hash") == F.col("hash")))).select(key).distinct()
-    keyed = docs.withColumn("_mr_key", F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")))
-    kept = keyed.join(later, "_mr_key", "left_anti")
-    return kept.dropDuplicates(["_mr_key"]).drop("_mr_key")
+    """The rows of ``docs`` without those whose class has a smaller (doc_id, text hash), nulls last; of repeated rows (doc_id and text equal) one stays. Rows without words stay."""
+    rows, owners = _owners(docs, width, percent)
+    first = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.hash") == F.col("hash"))
+    later = rows.join(owners, "id").where(~first).select(F.col("doc_id").alias("_mr_later"), F.col("hash").alias("_mr_text")).distinct()
+    keyed = docs.withColumns({"_mr_doc": F.col("doc_id").cast("long"), "_mr_hash": F.xxhash64("text")})
+    kept = keyed.join(later, F.col("_mr_hash").eqNullSafe(F.col("_mr_text")) & F.col("_mr_doc").eqNullSafe(F.col("_mr_later")), "left_anti")
+    return kept.dropDuplicates(["_mr_doc", "_mr_hash"]).drop("_mr_doc", "_mr_hash")
 
 
 def op7_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
+    """Classes of the 4-word shingle sets of all documents at 85 %. Nulls, ties and repeated rows as in ``classes``."""
     return classes(documents(spark, sf_dir), 4, 85)

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from millrace.llm import jaccard
 from tests.llm.conftest import SF, make
@@ -52,7 +53,10 @@ def test_odd_rows(spark, odd, odd_rows, empty):
     assert jaccard.classes(empty).count() == 0
 
 
-def test_chains_cliques_and_common_passages(spark):
+@pytest.mark.parametrize("sizes", [None, {"BLOCK": 8, "SHORT": 4, "SHARE": 20, "LONG": 3, "HELD": 500}])
+def test_chains_cliques_and_common_passages(spark, monkeypatch, sizes):
+    for name, value in (sizes or {}).items():
+        monkeypatch.setattr(jaccard, name, value)
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
     rows = []
@@ -76,7 +80,7 @@ def test_chains_cliques_and_common_passages(spark):
         add(["tiny"] * n)
         add(["tiny"] * n)
     rng.shuffle(rows)
-    for width, percent in ((4, 85), (5, 80), (2, 60)):
+    for width, percent in ((4, 85), (2, 60)) if sizes is None else ((5, 80),):
         assert sorted(map(tuple, jaccard.classes(make(spark, rows), width, percent).collect()), key=str) == brute(rows, width, percent)
 
 
@@ -88,3 +92,17 @@ def test_sketches_never_differ_in_more_bits_than_sets_in_tokens():
             other = np.concatenate([tokens[changed:], rng.integers(0, 2**64, changed, dtype=np.uint64)])
             apart = jaccard._apart(np.array([jaccard._sketch(tokens)]), np.array(jaccard._sketch(other)))
             assert apart[0] <= len(np.setxor1d(tokens, other))
+
+
+def test_blocks_give_the_pairs_that_may_link():
+    rng = np.random.default_rng(6)
+    n = np.sort(rng.integers(20, 90, 900))
+    cols = [rng.integers(0, 3, 900), np.arange(900), n, rng.integers(0, 20, 900), rng.integers(0, 40, 900), np.ones(900, np.int64), rng.choice([0, 1, 2], 900), *(np.zeros(900, np.int64) for _ in range(4))]
+    cols[3] = np.minimum(cols[3], n - 1)
+    order = np.lexsort((cols[3], np.floor(np.log(n) * 50), cols[0]))
+    entries = jaccard._Entries([c[order] for c in cols], 80)
+    got = {(min(i, j), max(i, j)) for x, y in entries.pairs() for i, j in zip(x.tolist(), y.tolist(), strict=True)}
+    i, j = np.triu_indices(900, 1)
+    i, j = i[entries.unit[i] == entries.unit[j]], j[entries.unit[i] == entries.unit[j]]
+    ok = entries.may(i, j)
+    assert got == set(zip(i[ok].tolist(), j[ok].tolist(), strict=True)) and 0 < ok.sum() < len(ok)
