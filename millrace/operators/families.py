@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import casefold, group_id, stable_hash
+from millrace.operators.graph import components
+from millrace.operators.tables import written
 
 # The split shares by volume, and the mode mix.
 BANDS = ((200, 0.70, 0.88), (1000, 0.75, 0.90), (None, 0.80, 0.90))
@@ -53,14 +55,12 @@ def near_dup_pairs(docs: DataFrame, threshold: float = 0.85, permutations: int =
     of d + 1 bands, so no pair is lost. Signatures of large near-copy groups
     are compared pair by pair.
     """
-    from millrace.llm.shared import materialize
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([minhash(t, permutations) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))], ["doc_id", "sig"])
 
     signed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, sig array<long>")
-    signed = materialize(signed.where(F.size("sig") > 0), "signatures")
+    signed = written(signed.where(F.size("sig") > 0), "signatures")
     reps = signed.groupBy("sig").agg(F.min("doc_id").alias("rep"))
     equal = signed.join(reps, "sig").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     bands = permutations - math.ceil(threshold * permutations - 1e-9) + 1
@@ -74,8 +74,6 @@ def near_dup_pairs(docs: DataFrame, threshold: float = 0.85, permutations: int =
 
 def assign_groups(docs: DataFrame, identity: tuple[str, ...] = (), layout: str | None = None, threshold: float = 0.85) -> DataFrame:
     """Add family and members as exact_families does; documents linked by identity columns, equal text, layout column or near-duplicate text are one family, transitively."""
-    from millrace.llm.graph import components
-
     canon = [F.nullif(F.trim(F.regexp_replace(casefold(F.col(c).cast("string")), r"[^a-z0-9]+", " ")), F.lit("")) for c in identity]
     keys = [F.sha2("text", 256)] + ([F.nullif(F.col(layout), F.lit(""))] if layout else [])
     if canon:
