@@ -33,14 +33,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm.codes import shingle_set
 from millrace.llm.graph import components, fixed_table
-from millrace.llm.shared import documents, materialize, small_batches
+from millrace.llm.shared import REMEMBERED, by_first, documents, materialize, plain_columns, small_batches
 
 #: Buckets of the frequency table (4 MB) and of the table of wanted texts.
 BUCKETS = 1 << 20
 #: Tokens, or pairs, that a task holds before it hands them on.
 HELD = 4_000_000
-#: Equal sets that a task remembers; those beyond are handed on once more and merged by the shuffle.
-REMEMBERED = 1_000_000
 #: Entries of a block, of a list that is compared without blocks, and of a share of a long list.
 BLOCK, SHORT, SHARE = 256, 64, 4096
 #: Entries of a list that count as many, and star passes at most. Neither changes the result.
@@ -138,27 +136,6 @@ def _index(docs: DataFrame, width: int, percent: int, table) -> DataFrame:
     return docs.mapInArrow(run, "token long, id long, n int, pos int")
 
 
-def _by_list(batches: Iterator[pa.RecordBatch], most: int = 50_000) -> Iterator[list[np.ndarray]]:
-    """Columns of sorted batches, ``most`` rows or so at a time, cut so that no list (equal first column) is split."""
-    held: list[list[np.ndarray]] = []
-    size = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-        size += batch.num_rows
-        if size < most:
-            continue
-        cols = [np.concatenate(x) for x in zip(*held, strict=True)]
-        other = np.flatnonzero(cols[0] != cols[0][-1])
-        cut = int(other[-1]) + 1 if len(other) else 0
-        if cut:
-            yield [c[:cut] for c in cols]
-        held, size = [[c[cut:] for c in cols]], size - cut
-    if size:
-        yield [np.concatenate(x) for x in zip(*held, strict=True)]
-
-
 def _lists(index: DataFrame, parts: int) -> DataFrame:
     """(list, id, n, pos, many): the index lists of two sets or more; those of the same sets are one list, with the position of their least token and their number.
 
@@ -184,7 +161,7 @@ def _stars(lists: DataFrame, percent: int, turn: int, pivots: int, tried: DataFr
     scramble = np.uint64(0x9E3779B97F4A7C15 * (2 * turn + 1) % 2**64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit, own, n, label, many, *bits in _by_list(batches):
+        for unit, own, n, label, many, *bits in by_first(batches, 50_000, plain_columns):
             sketch = np.stack(bits, axis=1)
             rank = own.view(np.uint64) * scramble
             rank ^= rank >> np.uint64(29)
@@ -299,7 +276,7 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
         out = lambda cols: _batch("a b na nb many", (pa.int64(),) * 5, cols)
-        for cols in _by_list(batches):
+        for cols in by_first(batches, 50_000, plain_columns):
             for found in _Entries(cols, percent).found():
                 held.append(found)
                 size += len(found[0])

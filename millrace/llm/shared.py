@@ -3,20 +3,27 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Equal texts or sets that a task remembers; those beyond are handed on once more and merged by the shuffle.
+REMEMBERED = 1_000_000
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a folder of our own only where that is unset, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared folder (spark.checkpoint.dir). Where that is unset, a folder of our own on one machine, as in tests; on a cluster an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "/tmp/millrace-shared"
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors and the driver share")
+        found = tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
@@ -29,10 +36,35 @@ def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 2000, size: int = 16 << 20) -> None:
-    """Arrow batches of few rows and bytes, so that very long texts stay within a worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of few rows and bytes, so that very long texts stay within a worker's memory. One setting for all operators: plans read it when they run."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
+def by_first(batches: Iterator[pa.RecordBatch], most: int, columns: Callable[[pa.RecordBatch], list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
+    """``columns`` of sorted batches, ``most`` rows or so at a time, cut so that rows of an equal first column stay together."""
+    held: list[list[np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(columns(batch))
+        size += batch.num_rows
+        if size < most:
+            continue
+        cols = [np.concatenate(x) for x in zip(*held, strict=True)]
+        other = np.flatnonzero(cols[0] != cols[0][-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut:
+            yield [c[:cut] for c in cols]
+        held, size = [[c[cut:] for c in cols]], size - cut
+    if size:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
+def plain_columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [c.to_numpy(zero_copy_only=False) for c in batch.columns]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

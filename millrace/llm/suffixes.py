@@ -3,12 +3,17 @@
 1. Of every 35 neighbouring 16-word windows the one with the least code is
    retained; two copies of a passage of 50 words retain the same place.
 2. Suffixes whose first 16 words begin no suffix of another text are dropped.
-3. The others are sorted with the words that follow, and once more by the words
-   before them, read backwards; in either order each is compared with the nearest
-   suffixes of other texts above and below it, and the match is extended to the
-   right and to the left, word by word. Matches of 50 words at least are repeats;
-   overlapping ones make up longer passages. The nearest suffixes of earlier
-   texts above and below say which words have an earlier holder.
+3. The others are sorted with the words that follow. Each is compared with its
+   neighbours of the same key, and the match is extended to the right and to the
+   left, word by word. Matches of 50 words at least are repeats; overlapping
+   ones make up longer passages.
+4. Keys of more than FEW suffixes are not compared pair by pair: of their
+   suffixes all 50-word windows that hold the key are counted by code, which
+   finds the same words however many texts hold them.
+
+Both ways are exact up to 64-bit codes of words: a word is repeated if it stands
+in a 50-word window that another text holds too, and it has an earlier holder if
+a text of a smaller least doc_id (nulls last) holds such a window.
 
 Equal texts are one text throughout, so groups of copies cost one of them.
 """
@@ -19,17 +24,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.codes import gram_codes, word_codes
 from millrace.llm.graph import fixed_table
-from millrace.llm.shared import documents, materialize, small_batches
+from millrace.llm.shared import REMEMBERED, by_first, documents, materialize, small_batches
 
 #: Words of a retained window.
 KEY = 16
-#: Bytes of a word's code in a stored context.
-CODE = 3
+#: Suffixes of one key that are compared with each other; larger keys go by windows. The result is the same.
+FEW = 32
 SIEVE = 1 << 20
 
 
@@ -82,7 +87,7 @@ def _suffixes(docs: DataFrame, least: int) -> DataFrame:
             for own, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if own in seen:
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < REMEMBERED:
                     seen.add(own)
                 at, codes = retained(word_codes(text)[0], least - KEY + 1)
                 if len(at):
@@ -96,7 +101,7 @@ def _suffixes(docs: DataFrame, least: int) -> DataFrame:
 
 
 def _contexts(rows: DataFrame, room: int) -> DataFrame:
-    """Per wanted position of (hash, places, text, rep): the codes of the ``room`` words after the key and, backwards, before it."""
+    """Per place of (hash, places, text, rep): the key and the codes of the ``room`` words after it and, backwards, before it."""
     schema = "key long, after binary, before binary, hash long, pos int, n_after int, n_before int, rep long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,115 +109,86 @@ def _contexts(rows: DataFrame, room: int) -> DataFrame:
             for own, places, text, rep in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = word_codes(text)[0]
                 n, at = len(words), np.unique(np.array(places, dtype=np.int64))
-                codes = np.zeros((n + 2 * room, CODE), np.uint8)
-                codes[room : room + n] = words.astype("<u8").view(np.uint8).reshape(n, 8)[:, :CODE]
+                codes = np.zeros(n + 2 * room, "<u8")
+                codes[room : room + n] = words
                 step = np.arange(room)
                 after = codes[(room + at + KEY)[:, None] + step]
                 before = codes[(room + at - 1)[:, None] - step]
-                binary = lambda x: pa.array([r.tobytes() for r in x], pa.binary())
+                # big-endian: sorted as bytes they are sorted as words
+                binary = lambda x: pa.array([r.tobytes() for r in x.astype(">u8")], pa.binary())
                 key = gram_codes(words, KEY)[at].view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(key), binary(after), binary(before), pa.array(np.full(len(at), own)), pa.array(at.astype(np.int32)), pa.array(np.minimum(room, n - at - KEY).astype(np.int32)), pa.array(np.minimum(room, at).astype(np.int32)), pa.array([rep] * len(at), pa.int64())], [x.split()[0] for x in schema.split(", ")])
 
     return rows.mapInArrow(run, schema)
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    """The equally long values of a binary column as rows of bytes."""
-    n = len(column)
-    if not n:
-        return np.zeros((0, width), np.uint8)
-    first = int(np.frombuffer(column.buffers()[1], np.int32)[column.offset])
-    return np.frombuffer(column.buffers()[2], np.uint8, n * width, first).reshape(n, width)
+def _windows(rows: DataFrame, least: int) -> DataFrame:
+    """Per place of (hash, places, text, rep): code and start of every window of ``least`` words that holds its key; each window of a text once."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own, places, text, rep in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                codes = gram_codes(word_codes(text)[0], least)
+                at = np.unique((np.array(places, dtype=np.int64)[:, None] - np.arange(least - KEY + 1)).ravel())
+                at = at[(at >= 0) & (at < len(codes))]
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(codes[at].view(np.int64)), pa.array(np.full(len(at), own)), pa.array(at.astype(np.int32)), pa.array([rep] * len(at), pa.int64())], ["code", "hash", "start", "rep"])
 
-def _lengths(cols: list[np.ndarray], rows: np.ndarray, other: np.ndarray, room: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words that each row shares with the other row before the key's start and from there on; -1 if under ``least`` in sum or of another key."""
-    key, after, before, _, _, n_after, n_before = cols[:7]
-    ok = (other >= 0) & (other < len(key))
-    o = np.where(ok, other, rows)
-    ok &= key[o] == key[rows]
-    both = []
-    for codes, limit in ((after, n_after), (before, n_before)):
-        same = (codes[rows] == codes[o]).reshape(len(rows), room, CODE).all(axis=2)
-        both.append(np.minimum(np.where(same.all(axis=1), room, same.argmin(axis=1)), np.minimum(limit[rows], limit[o])))
-    right, left = both[0] + KEY, both[1]
-    ok &= right + left >= least
-    return np.where(ok, left, -1), np.where(ok, right, -1)
+    return rows.mapInArrow(run, "code long, hash long, start int, rep long")
 
 
-def earlier(keys: list[int], reps: list[float], held: int) -> tuple[list[int], list[int], list[int]]:
-    """Each row with the nearest row above and the nearest below it, of its key, whose rep is smaller: (rows, those rows, stack).
+def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """Columns of ``_contexts`` as arrays, contexts as rows of words; null reps are 0, with a column that tells them."""
+    n = batch.num_rows
+    out = []
+    for name, column in zip(batch.schema.names, batch.columns, strict=True):
+        if name in ("after", "before"):
+            first = int(np.frombuffer(column.buffers()[1], np.int32)[column.offset])
+            width = len(column[0].as_py()) // 8
+            out.append(np.frombuffer(column.buffers()[2], np.uint64, n * width, first).reshape(n, width))
+        elif name == "rep":
+            out += [column.fill_null(0).to_numpy(zero_copy_only=False), column.is_null().to_numpy(zero_copy_only=False)]
+        else:
+            out.append(column.to_numpy(zero_copy_only=False))
+    return out
 
-    No row of a smaller rep shares more with it than these two do. The first
-    ``held`` rows are the stack that was left of the rows before.
-    """
-    stack, link = [], [-1] * len(keys)  # reps never fall in the stack; link: the last row in it of a smaller rep
-    rows, others = [], []
-    for i, rep in enumerate(reps):
-        if stack and keys[stack[-1]] != keys[i]:
-            stack = []
-        while stack and reps[stack[-1]] > rep:
-            rows.append(stack.pop())
-            others.append(i)
-        if stack:
-            link[i] = stack[-1] if reps[stack[-1]] < rep else link[stack[-1]]
-            if link[i] >= 0 and i >= held:
-                rows.append(i)
-                others.append(link[i])
-        stack.append(i)
-    return rows, others, stack
-
-
-def _matches(sorted_rows: DataFrame, room: int, least: int) -> DataFrame:
-    """(hash, start, stop, cut) of suffixes that match a near suffix of another text; cut: the nearest of the texts of a smaller rep."""
+
+def _matches(sorted_rows: DataFrame, least: int) -> DataFrame:
+    """(hash, start, stop, cut) of suffixes that match others of their key in ``least`` words: from the longest match to the left to the longest to the right. cut: of those with texts of a smaller rep."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] | None = None
-        done = 0  # rows of kept that are there to be compared with only
-        stack: list[np.ndarray] | None = None
-
-        def spans(cols: list[np.ndarray], rows: np.ndarray, others: list[np.ndarray], cut: bool) -> Iterator[pa.RecordBatch]:
-            for other in others:
-                left, right = _lengths(cols, rows, other, room, least)
-                use = left >= 0
+        for key, after, before, own, pos, n_after, n_before, rep, none in by_first(batches, 20_000, _columns):
+            n = len(key)
+            longest = np.full((2, 2, n), -1)  # all matches or those with smaller reps; to the left or to the right
+            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            end = np.repeat(np.concatenate([start[1:], [n]]), np.diff(np.concatenate([start, [n]])))
+            at, step = np.arange(n), 1
+
+            def shared(codes: np.ndarray, limit: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+                same = codes[i] == codes[j]
+                return np.minimum(np.where(same.all(axis=1), same.shape[1], same.argmin(axis=1)), np.minimum(limit[i], limit[j]))
+
+            while len(at):
+                go = at + step < end
+                at, end = at[go], end[go]
+                i, j = at, at + step
+                other = own[i] != own[j]
+                i, j = i[other], j[other]
+                right, left = shared(after, n_after, i, j) + KEY, shared(before, n_before, i, j)
+                long = right + left >= least
+                i, j, right, left = i[long], j[long], right[long], left[long]
+                for x, y in ((i, j), (j, i)):
+                    smaller = ~none[y] & (none[x] | (rep[y] < rep[x]))
+                    for kind, use in ((0, slice(None)), (1, smaller)):
+                        for side, length in ((0, left), (1, right)):
+                            longest[kind, side, x[use]] = np.maximum(longest[kind, side, x[use]], length[use])
+                step += 1
+            for kind in (0, 1):
+                use = longest[kind, 0] >= 0
                 if use.any():
-                    own, pos = cols[3][rows][use], cols[4][rows][use]
-                    out = [own, (pos - left[use]).astype(np.int32), (pos + right[use]).astype(np.int32), np.full(len(own), cut)]
+                    out = [own[use], (pos[use] - longest[kind, 0, use]).astype(np.int32), (pos[use] + longest[kind, 1, use]).astype(np.int32), np.full(int(use.sum()), bool(kind))]
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["hash", "start", "stop", "cut"])
 
-        def near(cols: list[np.ndarray], start: int, stop: int) -> Iterator[pa.RecordBatch]:
-            key, own = cols[0], cols[3]
-            n = len(key)
-            new = np.concatenate([[True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])])
-            first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-            ends = np.concatenate([np.flatnonzero(new)[1:], [n]])
-            rows = np.arange(start, stop)
-            # the next row of another text, or of another key, above and below
-            yield from spans(cols, rows, [(first - 1)[rows], ends[np.cumsum(new) - 1][rows]], False)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = [_matrix(c, room * CODE) if i in (1, 2) else c.to_numpy(zero_copy_only=False) for i, c in enumerate(batch.columns[:7])]
-            cols.append(np.array([np.inf if x is None else x for x in batch.column(7).to_pylist()], dtype=object))
-            own = [np.concatenate(x) for x in zip(stack, cols, strict=True)] if stack is not None else cols
-            rows, others, left = earlier(own[0].tolist(), own[7].tolist(), len(own[0]) - batch.num_rows)
-            yield from spans(own, np.array(rows, np.int64), [np.array(others, np.int64)], True)
-            stack = [c[left] for c in own]
-            if kept is not None:
-                cols = [np.concatenate(x) for x in zip(kept, cols, strict=True)]
-            key, own = cols[0], cols[3]
-            # rows of the last text wait for the next other text
-            tail = len(key) - 1
-            while tail > done and key[tail - 1] == key[-1] and own[tail - 1] == own[-1]:
-                tail -= 1
-            if tail > done:
-                yield from near(cols, done, tail)
-            back = max(0, tail - 1)
-            kept, done = [c[back:] for c in cols], tail - back
-        if kept is not None:
-            yield from near(kept, done, len(kept[0]))
-
     return sorted_rows.mapInArrow(run, "hash long, start int, stop int, cut boolean")
 
 
@@ -236,17 +212,15 @@ def repeats(docs: DataFrame, least: int = 50) -> DataFrame:
     passage of ``least`` words that both share.
     """
     small_batches(docs.sparkSession)
-    room = least - KEY
     docs = _keyed(docs)
-    suffixes = _suffixes(docs, least)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # rows of a key meet in one partition, so that neither step below shuffles again
-    own = suffixes.repartition(parts, "key").groupBy("key", "hash", "pos").agg(F.lit(1).alias("_one"))
-    by_key = Window.partitionBy("key")
-    shared = own.withColumn("_lo", F.min("hash").over(by_key)).withColumn("_hi", F.max("hash").over(by_key)).where("_lo <> _hi")
-    wanted = materialize(shared.groupBy("hash").agg(F.collect_list("pos").alias("places")), "places")
+    suffixes = materialize(_suffixes(docs, least).groupBy("key", "hash", "pos").agg(F.lit(1).alias("_one")).drop("_one"), "suffixes")
+    keys = suffixes.groupBy("key").agg(F.min("hash").alias("_lo"), F.max("hash").alias("_hi"), F.count("*").alias("_n")).where("_lo <> _hi")
+    # joined back, so that a key of very many suffixes is split over tasks
+    shared = suffixes.join(keys.select("key", (F.col("_n") > FEW).alias("many")), "key")
+    places = lambda many: F.collect_list(F.when(F.col("many") == many, F.col("pos")))
+    wanted = materialize(shared.groupBy("hash").agg(places(False).alias("few"), places(True).alias("many")), "places")
     holders = docs.groupBy("hash").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("r")).select("hash", F.col("r.doc_id").alias("rep"))
-    holders = materialize(wanted.select("hash").join(holders, "hash"), "holders")
+    holders = materialize(wanted.join(holders, "hash"), "holders")
     sieve = docs.sparkSession.sparkContext.broadcast(fixed_table(wanted.select(F.pmod("hash", F.lit(SIEVE)).alias("bucket"), F.lit(1).alias("value")), SIEVE) > 0)
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,10 +230,16 @@ def repeats(docs: DataFrame, least: int = 50) -> DataFrame:
                 yield batch.filter(pa.array(hit))
 
     near = docs.mapInArrow(sift, "doc_id long, hash long, text string")
-    texts = near.join(wanted.join(holders, "hash"), "hash").where("doc_id <=> rep").select("hash", "places", "text", "rep")
-    rows = _contexts(texts, room).repartition(parts, "key")  # one exchange, read in two orders
-    found = [_matches(rows.sortWithinPartitions("key", *by, "hash", "pos"), room, least) for by in (("after", "before"), ("before", "after"))]
-    found = materialize(found[0].union(found[1]), "matches")
+    texts = near.join(holders, "hash").where("doc_id <=> rep").dropDuplicates(["hash"])
+    texts = materialize(texts.select("hash", "few", "many", "text", "rep"), "texts")
+    rows = _contexts(texts.where("size(few) > 0").select("hash", "few", "text", "rep"), least - KEY)
+    found = _matches(rows.repartition("key").sortWithinPartitions("key", "after", "hash", "pos"), least)
+    windows = materialize(_windows(texts.where("size(many) > 0").select("hash", "many", "text", "rep"), least), "windows")
+    codes = windows.groupBy("code").agg(F.min("hash").alias("_lo"), F.max("hash").alias("_hi"), F.min("rep").alias("_least")).where("_lo <> _hi")
+    hit = windows.join(codes.select("code", "_least"), "code")
+    cut = F.coalesce(F.col("_least") < F.col("rep"), F.col("rep").isNull() & F.col("_least").isNotNull())
+    hit = hit.select("hash", "start", (F.col("start") + least).alias("stop"), F.explode(F.when(cut, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("cut"))
+    found = materialize(found.union(hit), "matches")
     span = F.struct("start", "stop")
     found = found.groupBy("hash").agg(F.array_sort(F.collect_set(span)).alias("spans"), F.array_sort(F.collect_set(F.when(F.col("cut"), span))).alias("cuts"))
     return found.select("hash", F.expr(_merged("spans")).alias("spans"), F.expr(_merged("cuts")).alias("cuts"))
@@ -271,7 +251,8 @@ def document_repeats(docs: DataFrame, least: int = 50) -> DataFrame:
     Rows of equal text and different doc_id share all their words; all but the
     smallest doc_id (nulls last) cut them. Repeats inside one document don't
     count. Null and short texts have none. Repeated rows (doc_id and text equal)
-    are one document and stay repeated in the result.
+    are one document and stay repeated in the result. An empty table gives an
+    empty result; other columns are not read.
     """
     found = materialize(repeats(docs, least), "repeats")
     n_words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
@@ -305,7 +286,7 @@ def without_repeats(docs: DataFrame, least: int = 50) -> DataFrame:
 
 
 def op5_suffix_repeats(spark, sf_dir: str) -> DataFrame:
-    """Documents that share a passage of 50 words or more with another: the passages as word spans, and how many words have an earlier holder."""
+    """Documents that share a passage of 50 words or more with another: the passages as word spans, and how many words have an earlier holder. Nulls, ties and repeated rows as in ``document_repeats``."""
     found = document_repeats(documents(spark, sf_dir))
     total = lambda c: F.aggregate(c, F.lit(0), lambda a, s: a + s.stop - s.start).cast("long")
     return found.select("doc_id", F.col("n_words").cast("long").alias("n_words"), total("spans").alias("n_repeated_words"), total("cuts").alias("n_later_words"), "spans", "cuts")

@@ -233,7 +233,7 @@ def read_back(files: DataFrame) -> DataFrame:
                 n = len(docs)
                 yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.array([seq] * n, pa.int32()), pa.array(docs, pa.int64()), pa.array(starts), pa.array(lengths.astype(np.int64)), pa.array(crc, pa.int64())], ["part", "seq", "doc_id", "inside", "n_tokens", "ids_crc32"])
 
-    small_batches(files.sparkSession, 4)
+    small_batches(files.sparkSession)
     docs = files.select("part", "seq", "data").mapInArrow(decode, "part int, seq int, doc_id long, inside long, n_tokens long, ids_crc32 long")
     before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = files.select("part", "seq", before.alias("before"))  # one small row a shard
