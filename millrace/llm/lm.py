@@ -1,19 +1,22 @@
 """LM scoring by masked pseudo-likelihood: a small network predicts every word from the two words on either side.
 
-Words are ranked by their count over all documents. The output layer is factored:
-the class of a word, then the word in its class. The leaves of the last class are
-branches: all but one lead down a tree to the other words that occur LEAST times
-at least, each with an output and context vectors of its own, so the tables grow
-with the counted words. The last leaf stands for all rarer words, which are
-spelt byte by byte from the byte before. Every task trains on all its
-documents from a common start, the results are averaged by their numbers of
-words, and the average scores every document.
+The output layer is factored: the class of a word, then the leaf in its class.
+The most frequent words have leaves of their own; the others that are counted
+often enough share the leaves after them, each with its share of the leaf's
+count, so every one of them has a probability of its own. The last leaf stands
+for all rarer words, which are spelt byte by byte from the byte before.
+
+Documents are dealt to shards by a hash of their text, sorted within. Every shard
+trains from the common start on all its words; the results are averaged, weighted
+by words, in the order of the shards. Shards belong to one of ROUNDS rounds, and
+each round starts from the average of the one before. So the model depends on
+the documents alone, not on partitions or the order of rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,14 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.codes import word_codes
-from millrace.llm.shared import documents, small_batches
+from millrace.llm.shared import documents, materialize, small_batches
 
-#: Classes and words a class; the last class holds the branches, and its last leaf the words that are spelt.
+#: Classes, leaves a class, and leaves of a single word; the last leaf holds the words that are spelt.
 SIDE = 32
 SIZE = SIDE * SIDE
-HEAD, BRANCHES, SPELT = SIZE - SIDE, SIDE - 1, SIZE - 1
-#: Count from which a word beyond the first HEAD has an output of its own.
-LEAST = 100
+HEAD, SPELT = 768, SIZE - 1
+#: Count from which a word has an output of its own, and the part of all words it must be: at most PART words have one, which bounds the broadcast (about 80 MB).
+LEAST, PART = 20, 4_000_000
+#: Bytes of text a shard, shards whose networks are added at a time, and rounds.
+SHARD, FAN, ROUNDS = 32 << 20, 32, 2
 #: Bytes, and the edge of a word.
 EDGE = 256
 OFFSETS = (-2, -1, 1, 2)
@@ -61,33 +66,37 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-@dataclass
 class Vocabulary:
-    """Codes of the words with an output of their own, sorted, with their ids: rank below HEAD, or SIZE + 1 and on (SIZE is the edge of a text)."""
+    """Sorted codes of the words with an output of their own, their leaves and the logarithms of their shares of them."""
 
-    codes: np.ndarray
-    ranks: np.ndarray
-    tail: int = 0
+    def __init__(self, codes: np.ndarray, leaves: np.ndarray, shares: np.ndarray):
+        self.codes, self.leaves, self.shares = codes, leaves, shares
+
+    @property
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        return self.codes, self.leaves, self.shares
 
     @classmethod
     def of(cls, counts: DataFrame) -> Vocabulary:
-        """The HEAD most frequent words (ties by code), and all others of count LEAST at least."""
-        top = counts.where(F.col("n") >= LEAST).select("code", "n").toArrow()
-        if top.num_rows < HEAD:
-            top = counts.orderBy(F.desc("n"), "code").limit(HEAD).select("code", "n").toArrow()
+        """The words of count LEAST and one in PART of all words at least; the HEAD most frequent ones (ties by code) have leaves of their own, the others are dealt over the rest in that order."""
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        top = counts.where(F.col("n") >= max(LEAST, math.ceil(total / PART))).select("code", "n").toArrow()
         codes, n = top["code"].to_numpy(), top["n"].to_numpy()
-        codes = codes[np.lexsort((codes, -n))].view(U)
-        ids = np.arange(len(codes), dtype=np.int32)
-        ids[HEAD:] += SIZE + 1 - HEAD
+        order = np.lexsort((codes, -n))
+        codes, n = codes[order].view(U), n[order].astype(np.float64)
+        rank = np.arange(len(codes))
+        leaves = np.where(rank < HEAD, rank, HEAD + (rank - HEAD) % (SPELT - HEAD)).astype(np.int16)
+        shares = np.log(n / np.bincount(leaves, n, SIZE)[leaves]).astype(np.float32) if len(codes) else np.zeros(0, np.float32)
         order = np.argsort(codes)
-        return cls(codes[order], ids[order], max(0, len(codes) - HEAD))
+        return cls(codes[order], leaves[order], shares[order])
 
-    def ids(self, codes: np.ndarray) -> np.ndarray:
-        """Id of each word; SPELT where it has none of its own."""
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Leaf of each word and the logarithm of its share; SPELT and 0 where it has none of its own."""
         if not len(self.codes):
-            return np.full(len(codes), SPELT, np.int32)
+            return np.full(len(codes), SPELT, np.int16), np.zeros(len(codes), np.float32)
         at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        return np.where(self.codes[at] == codes, self.ranks[at], SPELT).astype(np.int32)
+        hit = self.codes[at] == codes
+        return np.where(hit, self.leaves[at], np.int16(SPELT)), np.where(hit, self.shares[at], np.float32(0))
 
 
 def pairs_of_bytes(text: str | None, spelt: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,33 +114,14 @@ def pairs_of_bytes(text: str | None, spelt: np.ndarray, starts: np.ndarray, ends
 
 
 class Network:
-    """tanh of the summed context vectors (one table per offset; row SIZE, the edge of the text, stays 0), then class, word in class, and the tree below the branches.
-
-    ``tail`` words stand below the branches; word k below branch k % BRANCHES,
-    where the digits of k // BRANCHES in base SIDE are its path.
-    """
+    """tanh of the summed context vectors (one table per offset; row SIZE, the edge of the text, stays 0), then class, then leaf in class."""
 
-    def __init__(self, dim: int = 16, seed: int = 10, tail: int = 0):
+    def __init__(self, dim: int = 16, seed: int = 10):
         rng = np.random.default_rng(seed)
         f = np.float32
-        self.parts = [
-            np.concatenate([rng.normal(0, 0.1, (len(OFFSETS), SIZE, dim)), np.zeros((len(OFFSETS), 1, dim))], axis=1).astype(f),
-            rng.normal(0, 0.1, (SIDE, dim)).astype(f), np.zeros(SIDE, f), rng.normal(0, 0.1, (SIDE, SIDE, dim)).astype(f), np.zeros((SIDE, SIDE), f),
-        ]
-        self.tail, most = tail, -(-tail // BRANCHES)
-        self.levels: list[tuple[int, int, int]] = []  # first node, nodes a branch, words below a child
-        below, first = 1, 0
-        while below < most:
-            below *= SIDE
-        below = max(1, below // SIDE) if tail else 0
-        while below:
-            self.levels.append((first, -(-most // (below * SIDE)), below))
-            first += BRANCHES * self.levels[-1][1]
-            below //= SIDE
-        more = rng.normal(0, 0.1, (len(OFFSETS), tail, dim)).astype(f)
-        self.parts[0] = np.concatenate([self.parts[0], more], axis=1)
-        self.parts += [rng.normal(0, 0.1, (first, SIDE, dim)).astype(f), np.zeros((first, SIDE), f)]
-        #: Spelling: counts of byte pairs; log-probabilities follow from them.
+        tables = np.concatenate([rng.normal(0, 0.1, (len(OFFSETS), SIZE, dim)), np.zeros((len(OFFSETS), 1, dim))], axis=1)
+        self.parts = [tables.astype(f), rng.normal(0, 0.1, (SIDE, dim)).astype(f), np.zeros(SIDE, f), rng.normal(0, 0.1, (SIDE, SIDE, dim)).astype(f), np.zeros((SIDE, SIDE), f)]
+        #: Counts of byte pairs; the log-probabilities of spellings follow from them.
         self.spelling = np.zeros((EDGE + 1) ** 2)
 
     def flat(self) -> np.ndarray:
@@ -151,25 +141,6 @@ class Network:
             h += table[x]
         return np.tanh(h, out=h)
 
-    @staticmethod
-    def _leaf(target: np.ndarray) -> np.ndarray:
-        """The leaf of the last class, for words below a branch."""
-        return np.where(target > SIZE, HEAD + (target - SIZE - 1) % BRANCHES, target)
-
-    def _path(self, target: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Per level, of words below a branch: node, child, and which children there are."""
-        k = target.astype(np.int64) - SIZE - 1
-        branch, q = k % BRANCHES, k // BRANCHES
-        words = (self.tail - branch + BRANCHES - 1) // BRANCHES
-        for first, wide, below in self.levels:
-            prefix = q // (below * SIDE)
-            there = (prefix[:, None] * SIDE + np.arange(SIDE)) * below < words[:, None]
-            yield first + branch * wide + prefix, q // below % SIDE, there
-
-    def _choice(self, h: np.ndarray, node: np.ndarray, there: np.ndarray) -> np.ndarray:
-        z = np.matmul(self.parts[5][node], h[:, :, None])[:, :, 0] + self.parts[6][node]
-        return self._log_softmax(np.where(there, z, np.float32(-1e9)))
-
     def spell(self) -> np.ndarray:
         """Log-probability of each byte or the edge after each, every one counted once more."""
         n = self.spelling.reshape(EDGE + 1, EDGE + 1) + 1
@@ -178,167 +149,186 @@ class Network:
             return np.log(n / n.sum(axis=1, keepdims=True)).ravel()
 
     @staticmethod
-    def _log_softmax(z: np.ndarray) -> np.ndarray:
+    def _by_class(target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Each class that occurs, with the rows of its targets."""
+        kind = (target // SIDE).astype(np.int16)
+        order = np.argsort(kind, kind="stable")
+        edges = np.searchsorted(kind[order], np.arange(SIDE + 1))
+        for c in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
+            yield c, order[edges[c] : edges[c + 1]]
+
+    @staticmethod
+    def _chosen(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Log-softmax of each row at one place."""
+        z -= z.max(axis=1, keepdims=True)
+        return z[np.arange(len(z)), at] - np.log(np.exp(z).sum(axis=1))
+
+    @staticmethod
+    def _slope(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Gradient of the negative log-softmax at one place of each row."""
         z -= z.max(axis=1, keepdims=True)
-        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+        np.exp(z, out=z)
+        z /= z.sum(axis=1, keepdims=True)
+        z[np.arange(len(z)), at] -= 1
+        return z
 
     def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Of the targets' leaves."""
         h = self._hidden(around)
-        leaf = self._leaf(target)
-        kind, word = leaf // SIDE, leaf % SIDE
-        out = self._log_softmax(h @ self.parts[1].T + self.parts[2])[np.arange(len(target)), kind]
-        order = np.argsort(kind, kind="stable")
-        edges = np.searchsorted(kind[order], np.arange(SIDE + 1))
-        for c in np.flatnonzero(edges[1:] > edges[:-1]):
-            rows = order[edges[c] : edges[c + 1]]
-            out[rows] += self._log_softmax(h[rows] @ self.parts[3][c].T + self.parts[4][c])[np.arange(len(rows)), word[rows]]
-        deep = np.flatnonzero(target > SIZE)
-        for node, child, there in self._path(target[deep]):
-            out[deep] += self._choice(h[deep], node, there)[np.arange(len(deep)), child]
+        _, cw, cb, ww, wb = self.parts
+        out = self._chosen(h @ cw.T + cb, target // SIDE)
+        for c, rows in self._by_class(target):
+            out[rows] += self._chosen(h[rows] @ ww[c].T + wb[c], target[rows] % SIDE)
         return out
 
     def step(self, around: np.ndarray, target: np.ndarray, memory: list[np.ndarray], rate: float) -> None:
         """One Adagrad step on the mean negative log-probability."""
-        tables, cw, cb, ww, wb, tw, tb = self.parts
-        n = len(target)
+        tables, cw, cb, ww, wb = self.parts
         h = self._hidden(around)
-        leaf = self._leaf(target)
-        kind, word = leaf // SIDE, leaf % SIDE
-        g = np.exp(self._log_softmax(h @ cw.T + cb))
-        g[np.arange(n), kind] -= 1
+        g = self._slope(h @ cw.T + cb, target // SIDE)
         dh, dcw, dcb = g @ cw, g.T @ h, g.sum(axis=0)
         dww, dwb = np.zeros_like(ww), np.zeros_like(wb)
-        order = np.argsort(kind, kind="stable")
-        edges = np.searchsorted(kind[order], np.arange(SIDE + 1))
-        for c in np.flatnonzero(edges[1:] > edges[:-1]):
-            rows = order[edges[c] : edges[c + 1]]
-            p = np.exp(self._log_softmax(h[rows] @ ww[c].T + wb[c]))
-            p[np.arange(len(rows)), word[rows]] -= 1
-            dww[c], dwb[c] = p.T @ h[rows], p.sum(axis=0)
+        for c, rows in self._by_class(target):
+            own = h[rows]
+            p = self._slope(own @ ww[c].T + wb[c], target[rows] % SIDE)
+            dww[c], dwb[c] = p.T @ own, p.sum(axis=0)
             dh[rows] += p @ ww[c]
-        changes = [(p, m, slice(None), d) for p, m, d in zip((cw, cb, ww, wb), memory[1:5], (dcw, dcb, dww, dwb), strict=True)]
-        deep = np.flatnonzero(target > SIZE)
-        for node, child, there in self._path(target[deep]) if len(deep) else ():
-            p = np.exp(self._choice(h[deep], node, there))
-            p[np.arange(len(deep)), child] -= 1
-            dh[deep] += np.matmul(p[:, None, :], tw[node])[:, 0, :]
-            order, first, own = self._groups(node)
-            changes.append((tw, memory[5], own, np.add.reduceat((p[:, :, None] * h[deep][:, None, :])[order], first, axis=0)))
-            changes.append((tb, memory[6], own, np.add.reduceat(p[order], first, axis=0)))
         dh *= 1 - h * h
+        dt = np.zeros_like(tables)
         for i, x in enumerate(around):
-            order, first, own = self._groups(x)
-            d = np.add.reduceat(dh[order], first, axis=0)
-            d[own == SIZE] = 0
-            changes.append((tables[i], memory[0][i], own, d))
-        # rows without a gradient stay as they are
-        for p, m, rows, d in changes:
-            d = d / np.float32(n)
-            m[rows] += d * d
-            p[rows] -= rate * d / (np.sqrt(m[rows]) + 1e-6)
-
-    @staticmethod
-    def _groups(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Order that brings equal values together, where each value begins in it, and the values."""
-        order = np.argsort(x, kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], np.diff(x[order]) > 0]))
-        return order, first, x[order][first]
-
-
-def windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of several texts: the words around each word (row per offset), the words, and where each text begins among them."""
-    edge = np.full(2, SIZE, np.int32)
+            order = np.argsort(x, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], np.diff(x[order]) != 0]))
+            dt[i, x[order][first]] = np.add.reduceat(dh[order], first, axis=0)
+        dt[:, SIZE] = 0
+        for p, m, d in zip(self.parts, memory, (dt, dcw, dcb, dww, dwb), strict=True):
+            d /= np.float32(len(target))
+            m += d * d
+            p -= rate * d / (np.sqrt(m) + np.float32(1e-6))
+
+
+def windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of several texts: the leaves around each word (row per offset), and the words' own."""
+    edge = np.full(2, SIZE, np.int16)
     sizes = np.array([len(x) for x in ids], dtype=np.int64)
     line = np.concatenate([y for x in ids for y in (edge, x)] + [edge])
     at = np.arange(int(sizes.sum())) + np.repeat(2 * np.arange(1, len(ids) + 1), sizes)
-    return np.stack([line[at + o] for o in OFFSETS]), line[at], np.cumsum(sizes) - sizes
-
-
-def _some(texts: list[str | None], words: Vocabulary, most: int) -> Iterator[tuple[list[int], list[np.ndarray], list[np.ndarray]]]:
-    """Texts' word ids, in groups of about ``most`` words; with their indexes and the byte pairs of their spelt words."""
-    at: list[int] = []
-    held: list[np.ndarray] = []
-    pairs: list[np.ndarray] = []
-    size = 0
-    for i, text in enumerate(texts):
-        codes, starts, ends = word_codes(text)
-        ids = words.ids(codes)
-        at.append(i)
-        held.append(ids)
-        pairs.append(pairs_of_bytes(text, ids == SPELT, starts, ends)[0])
-        size += len(ids)
-        if size >= most:
-            yield at, held, pairs
-            at, held, pairs, size = [], [], [], 0
-    if at:
-        yield at, held, pairs
-
-
-def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 1, batch: int = 4096, rate: float = 0.1, piece: int = 65536) -> Network:
-    """Average of the networks that the tasks train, each over all its documents.
-
-    Every word of every document is a target once a round. A task's network travels
-    in rows of ``piece`` numbers, which are averaged by piece, followed by its
-    counts of byte pairs; one network reaches the driver.
+    return np.stack([line[at + o] for o in OFFSETS]), line[at]
+
+
+def _groups(texts: list[str | None], words: Vocabulary, most: int) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts in order, in groups of about ``most`` words: each text's leaves, the log shares of all words, and the byte pairs of the spelt ones with the text they belong to."""
+    at = 0
+    while at < len(texts):
+        codes, pairs, owner, size = [], [], [], 0
+        while at < len(texts) and size < most:
+            own, starts, ends = word_codes(texts[at])
+            codes.append((own, starts, ends, texts[at]))
+            size += len(own)
+            at += 1
+        leaves, shares = words.find(np.concatenate([c[0] for c in codes]))
+        split = np.split(leaves, np.cumsum([len(c[0]) for c in codes])[:-1])
+        for k, ((_, starts, ends, text), own) in enumerate(zip(codes, split, strict=True)):
+            spelt = own == SPELT
+            if spelt.any():
+                pairs.append(pairs_of_bytes(text, spelt, starts, ends)[0])
+                owner.append(np.full(len(pairs[-1]), k))
+        none = np.zeros(0, np.int64)
+        yield split, shares, np.concatenate([none, *pairs]), np.concatenate([none, *owner])
+
+
+def _added(rows: DataFrame, shards: int) -> tuple[np.ndarray, np.ndarray, float] | None:
+    """Sum over all rows (shard, seen, net, spelling): FAN shards at a time, in their order, until one row is left."""
+
+    def add(table: pa.Table) -> pa.Table:
+        table = table.sort_by("shard")
+        net, spelling = (sum((np.frombuffer(x.as_buffer(), np.float64) for x in table[c]), 0.0) for c in ("net", "spelling"))
+        return pa.table({"shard": pa.array([table["shard"][0].as_py() // FAN], pa.int64()), "seen": pa.array([sum(table["seen"].to_pylist())], pa.int64()), "net": pa.array([net.tobytes()], pa.binary()), "spelling": pa.array([spelling.tobytes()], pa.binary())})
+
+    while True:
+        rows = rows.groupBy(F.floor(F.col("shard") / FAN).alias("node")).applyInArrow(add, "shard long, seen long, net binary, spelling binary")
+        shards = -(-shards // FAN)
+        if shards == 1:
+            found = rows.collect()
+            return (np.frombuffer(found[0].net, np.float64), np.frombuffer(found[0].spelling, np.float64), found[0].seen) if found else None
+        rows = materialize(rows, "networks")
+
+
+def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, batch: int = 8192, rate: float = 0.1, shard_bytes: int = SHARD) -> Network:
+    """Average of the networks that the shards train, round by round; every word of every document is a target once.
+
+    The number of shards follows the bytes of text. One network reaches the driver.
     """
     spark = docs.sparkSession
-    net = Network(tail=vocabulary.tail)
-    for _ in range(rounds):
-        start = spark.sparkContext.broadcast((net.flat(), vocabulary))
+    net = Network()
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, math.ceil(total / rounds / shard_bytes))
+    # equal texts of equal ids are interchangeable; a text that many documents hold goes to many shards
+    keyed = docs.select("doc_id", "text", F.xxhash64("text", "doc_id").alias("hash")).withColumns({"turn": F.pmod("hash", F.lit(rounds)), "shard": F.pmod(F.shiftrightunsigned("hash", 20), F.lit(shards))})
+    for turn in range(rounds):
+        start = spark.sparkContext.broadcast((net.flat(), vocabulary.arrays))
 
         def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            flat, words = start.value
-            own = Network(tail=words.tail).load(flat)
-            memory = [np.zeros_like(p) for p in own.parts]
-            seen = 0
-            for b in batches:
-                for _, held, pairs in _some(b.column(1).to_pylist(), words, 4 * batch):
-                    own.spelling += np.bincount(np.concatenate(pairs), minlength=(EDGE + 1) ** 2)
-                    around, target, _ = windows(held)
+            flat, arrays = start.value
+            words = Vocabulary(*arrays)
+            shard, own, memory, seen = None, None, None, 0
+
+            def result() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([seen], pa.int64()), pa.array([(own.flat().astype(np.float64) * seen).tobytes()], pa.binary()), pa.array([own.spelling.tobytes()], pa.binary())], ["shard", "seen", "net", "spelling"])
+
+            rest: list[str | None] = []
+            size = 0
+
+            def learn() -> None:
+                nonlocal seen
+                for held, _, pairs, _ in _groups(rest, words, 1 << 62):
+                    own.spelling += np.bincount(pairs, minlength=(EDGE + 1) ** 2)
+                    around, target = windows(held)
                     for lo in range(0, len(target), batch):
                         own.step(around[:, lo : lo + batch], target[lo : lo + batch], memory, rate)
                     seen += len(target)
-            if seen:
-                flat = own.flat()
-                parts = [flat[lo : lo + piece].tobytes() for lo in range(0, len(flat), piece)]
-                for lo in range(0, len(parts), 16):
-                    some = parts[lo : lo + 16]
-                    yield pa.RecordBatch.from_arrays([pa.array(range(lo, lo + len(some)), pa.int32()), pa.array([seen] * len(some), pa.int64()), pa.array(some, pa.binary())], ["piece", "seen", "data"])
-                yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([seen], pa.int64()), pa.array([own.spelling.tobytes()], pa.binary())], ["piece", "seen", "data"])
-
-        def add(table: pa.Table) -> pa.Table:
-            spelling = table["piece"][0].as_py() < 0
-            total, seen = 0.0, 0
-            for n, data in zip(table["seen"].to_pylist(), table["data"], strict=True):
-                total = total + (np.frombuffer(data.as_buffer(), np.float64) if spelling else np.frombuffer(data.as_buffer(), np.float32).astype(np.float64) * n)
-                seen += n
-            data = total if spelling else (total / seen).astype(np.float32)
-            return pa.table({"piece": table["piece"][:1], "data": pa.array([data.tobytes()], pa.binary())})
-
-        summed = docs.mapInArrow(run, "piece int, seen long, data binary").groupBy("piece").applyInArrow(add, "piece int, data binary").collect()
+
+            for b in batches:
+                for k, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    if k != shard:
+                        learn()
+                        if seen:
+                            yield result()
+                        shard, own, seen, rest, size = k, Network().load(flat), 0, [], 0
+                        memory = [np.zeros_like(p) for p in own.parts]
+                    rest.append(text)
+                    size += len(text or "")
+                    if size > 64 * batch:
+                        learn()
+                        rest, size = [], 0
+            if shard is not None:
+                learn()
+                if seen:
+                    yield result()
+
+        rows = keyed.where(F.col("turn") == turn).repartition(shards, "shard").sortWithinPartitions("shard", "hash", "doc_id").select("shard", "text")
+        summed = _added(rows.mapInArrow(run, "shard long, seen long, net binary, spelling binary"), shards)
         if summed:
-            summed = sorted(summed, key=lambda r: r.piece)
-            net.spelling = np.frombuffer(summed[0].data, np.float64)
-            net.load(np.concatenate([np.frombuffer(r.data, np.float32) for r in summed[1:]]))
+            net.load(summed[0] / summed[2])
+            net.spelling = net.spelling + summed[1]
     return net
 
 
 def score(docs: DataFrame, net: Network, vocabulary: Vocabulary, batch: int = 16384) -> DataFrame:
     """Per row: doc_id, n_words, log_likelihood (sum over all words) and its mean (null without words)."""
-    model = docs.sparkSession.sparkContext.broadcast((net.flat(), net.spell(), vocabulary))
+    model = docs.sparkSession.sparkContext.broadcast((net.flat(), net.spell(), vocabulary.arrays))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, spell, words = model.value
-        net = Network(tail=words.tail).load(flat)
+        flat, spell, arrays = model.value
+        net, words = Network().load(flat), Vocabulary(*arrays)
         for b in batches:
-            n, total = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
-            for at, held, pairs in _some(b.column(1).to_pylist(), words, batch):
-                around, target, _ = windows(held)
+            ns, totals = [np.zeros(0, np.int64)], [np.zeros(0)]
+            for held, shares, pairs, owner in _groups(b.column(1).to_pylist(), words, batch):
+                around, target = windows(held)
                 found = np.concatenate([net.log_probabilities(around[:, lo : lo + batch], target[lo : lo + batch]) for lo in range(0, len(target), batch)] or [np.zeros(0)])
                 sizes = np.array([len(x) for x in held])
-                total[at] = np.bincount(np.repeat(np.arange(len(held)), sizes), found, len(held))
-                total[at] += [spell[p].sum() for p in pairs]
-                n[at] = sizes
+                ns.append(sizes)
+                totals.append(np.bincount(np.repeat(np.arange(len(held)), sizes), found + shares.astype(np.float64), len(held)) + np.bincount(owner, spell[pairs], len(held)))
+            n, total = np.concatenate(ns), np.concatenate(totals)
             mean = pa.array(np.round(total / np.maximum(n, 1), 6), mask=n == 0)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(np.round(total, 4)), mean], ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])
 
@@ -349,13 +339,16 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """Score every row of ``docs`` (doc_id, text) by a network fitted to all of them.
 
     Null and blank texts have no words, a log-likelihood of 0 and a null mean;
-    repeated rows stay repeated; an empty table gives an empty result.
+    repeated rows stay repeated; an empty table gives an empty result; other
+    columns are not read. Scores don't depend on partitions or row order, but for
+    the rounding of sums over batches (some 0.0001).
     """
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    vocabulary = Vocabulary.of(word_counts(docs))
+    vocabulary = Vocabulary.of(materialize(word_counts(docs), "counts"))
     return score(docs, train(docs, vocabulary), vocabulary)
 
 
 def op10_pseudo_likelihood(spark, sf_dir: str) -> DataFrame:
+    """All documents, scored by a model of all documents. Nulls, ties and repeated rows as in ``pseudo_likelihood``."""
     return pseudo_likelihood(documents(spark, sf_dir))
