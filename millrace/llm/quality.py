@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import documents
+from millrace.llm.shared import documents, materialize
 
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[^#*$%&|<>]+"
@@ -16,14 +16,49 @@ SYMBOLS = "[^#*$%&|<>]+"
 
 @dataclass(frozen=True)
 class Rule:
-    """``fails`` is true for a document to reject; it may use the columns of ``measured``."""
+    """``fails`` is true for a document to reject; it uses the measures named in ``needs``."""
 
     name: str
+    needs: tuple[str, ...]
     fails: Column
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """Add the base measures, each over the whole text (null: no words, no lines).
+#: Inner columns that a measure goes through, in order. Underscore and prefix: they clash with none of the table's.
+STEPS = {
+    "n_words": ("_mr_words",),
+    "n_repeat_words": ("_mr_words", "_mr_grams", "_mr_order", "_mr_places"),
+    "n_lines": ("_mr_lines",),
+    "n_dup_lines": ("_mr_lines",),
+}
+
+
+def _expressions() -> dict[str, Column]:
+    """Measures and inner columns by name, each over the columns before it."""
+    text = F.col("text").cast("string")
+    known = F.coalesce(text, F.lit(""))
+    at = "_mr_order"
+    again = f"(k > 0 AND {at}[greatest(k - 1, 0)].g = x.g) OR (k + 1 < size({at}) AND {at}[least(k + 1, size({at}) - 1)].g = x.g)"
+    return {
+        "_mr_words": F.filter(F.split(known, SPACES), lambda w: w != ""),
+        "n_words": F.size("_mr_words").cast("long"),
+        "_mr_grams": F.expr("CASE WHEN size(_mr_words) < 3 THEN array() ELSE transform(sequence(0, size(_mr_words) - 3), i -> xxhash64(_mr_words[i], _mr_words[i + 1], _mr_words[i + 2])) END").cast("array<long>"),
+        "_mr_order": F.expr("CASE WHEN size(array_distinct(_mr_grams)) = size(_mr_grams) THEN NULL ELSE sort_array(transform(_mr_grams, (g, i) -> struct(g AS g, i AS i))) END"),
+        "_mr_places": F.expr(f"sort_array(transform(filter({at}, (x, k) -> {again}), x -> x.i))"),
+        "n_repeat_words": F.coalesce(F.expr("aggregate(_mr_places, struct(0 AS n, -3 AS last), (a, p) -> struct(a.n + least(3, p - a.last) AS n, p AS last), a -> a.n)"), F.lit(0)).cast("long"),
+        "_mr_lines": F.filter(F.split(known, "\n", -1), lambda x: x.rlike("[^ \t-\r]")),
+        "n_lines": F.size("_mr_lines").cast("long"),
+        "n_dup_lines": (F.size("_mr_lines") - F.size(F.array_distinct("_mr_lines"))).cast("long"),
+        "word_chars": F.length(F.regexp_replace(known, SPACES, "")).cast("long"),
+        "n_symbols": F.length(F.regexp_replace(known, SYMBOLS, "")).cast("long"),
+        "n_letters": F.length(F.regexp_replace(known, r"[^\p{L}]+", "")).cast("long"),
+    }
+
+
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+
+
+def measured(docs: DataFrame, names: tuple[str, ...] = MEASURES, where: Column | None = None, done: frozenset[str] = frozenset()) -> DataFrame:
+    """Add the measures ``names``, each over the whole text (null: no words, no lines); where ``where`` does not hold they are null and cost nothing.
 
     Words are the maximal runs of other characters than the six ASCII white
     spaces. n_repeat_words counts the words that stand in a 3-word window whose
@@ -31,105 +66,102 @@ def measured(docs: DataFrame) -> DataFrame:
     compared by 64-bit hash; sorted with their positions, equal ones meet, and
     each repeated window adds the words that the repeated window before it did
     not cover. Texts whose windows are all different skip the sort. Own columns
-    of these names are replaced.
+    of these names are replaced; inner columns stay, for measures that follow.
     """
-    # an underscore and a prefix: the inner columns clash with none of the table's
-    docs = docs.withColumn("_mr_words", F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), SPACES), lambda w: w != ""))
-    docs = docs.withColumn("n_words", F.size("_mr_words").cast("long"))
-    grams = F.expr("CASE WHEN size(_mr_words) < 3 THEN array() ELSE transform(sequence(0, size(_mr_words) - 3), i -> xxhash64(_mr_words[i], _mr_words[i + 1], _mr_words[i + 2])) END").cast("array<long>")
-    docs = docs.withColumn("_mr_grams", grams)
-    docs = docs.withColumn("_mr_order", F.expr("CASE WHEN size(array_distinct(_mr_grams)) = size(_mr_grams) THEN NULL ELSE sort_array(transform(_mr_grams, (g, i) -> struct(g AS g, i AS i))) END"))
-    docs = docs.withColumn("_mr_places", F.expr("sort_array(transform(filter(_mr_order, (x, k) -> (k > 0 AND _mr_order[greatest(k - 1, 0)].g = x.g) OR (k + 1 < size(_mr_order) AND _mr_order[least(k + 1, size(_mr_order) - 1)].g = x.g)), x -> x.i))"))
-    covered = "aggregate(_mr_places, struct(0 AS n, -3 AS last), (a, p) -> struct(a.n + least(3, p - a.last) AS n, p AS last), a -> a.n)"
-    lines = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1), lambda x: x.rlike("[^ \t-\r]"))
-    return (
-        docs.withColumn("n_repeat_words", F.coalesce(F.expr(covered), F.lit(0)).cast("long"))
-        .withColumn("_mr_lines", lines)
-        .withColumns(
-            {
-                "word_chars": F.coalesce(F.length(F.regexp_replace("text", SPACES, "")), F.lit(0)).cast("long"),
-                "n_symbols": F.coalesce(F.length(F.regexp_replace("text", SYMBOLS, "")), F.lit(0)).cast("long"),
-                "n_lines": F.coalesce(F.size("_mr_lines"), F.lit(0)).cast("long"),
-                "n_dup_lines": F.coalesce(F.size("_mr_lines") - F.size(F.array_distinct("_mr_lines")), F.lit(0)).cast("long"),
-            }
-        )
-        .drop("_mr_words", "_mr_grams", "_mr_order", "_mr_places", "_mr_lines")
-    )
+    made = _expressions()
+    for name in names:
+        for step in (*STEPS.get(name, ()), name):
+            if step not in done:
+                docs = docs.withColumn(step, made[step] if where is None else F.when(where, made[step]))
+                done |= {step}
+    return docs
 
 
 def base_rules() -> list[Rule]:
-    return [Rule("few_words", F.col("n_words") < 50), Rule("repeats", 100 * F.col("n_repeat_words") > 50 * F.col("n_words"))]
+    return [Rule("few_words", ("n_words",), F.col("n_words") < 50), Rule("repeats", ("n_words", "n_repeat_words"), 100 * F.col("n_repeat_words") > 50 * F.col("n_words"))]
 
 
 def default_rules() -> list[Rule]:
     """Rules on top of the base: each far from what prose shows, so clean documents stay."""
-    text = F.col("text").cast("string")
-    letters = F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
     return [
-        Rule("symbols", F.col("n_symbols") * 10 > F.col("n_words")),
-        Rule("duplicate_lines", 100 * F.col("n_dup_lines") > 30 * F.col("n_lines")),
-        Rule("word_length", (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 20 * F.col("n_words"))),
-        Rule("few_letters", 100 * letters < 50 * F.col("word_chars")),
+        Rule("symbols", ("n_words", "n_symbols"), F.col("n_symbols") * 10 > F.col("n_words")),
+        Rule("duplicate_lines", ("n_lines", "n_dup_lines"), 100 * F.col("n_dup_lines") > 30 * F.col("n_lines")),
+        Rule("word_length", ("n_words", "word_chars"), (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 20 * F.col("n_words"))),
+        Rule("few_letters", ("word_chars", "n_letters"), 100 * F.col("n_letters") < 50 * F.col("word_chars")),
     ]
 
 
-def order_rules(docs: DataFrame, rules: list[Rule], sample_rows: int = 1000, sample_share: float = 0.05, seed: int = 4) -> list[Rule]:
+def order_rules(docs: DataFrame, rules: list[Rule], sample_rows: int = 1000) -> list[Rule]:
     """Rules by rejection per cost, best first, ties as given.
 
-    Each rule runs over the measures of at most ``sample_rows`` rows of ``docs``
-    (as read, without measures); its cost is the seconds it adds to a run that only reads the texts, its selectivity the
-    share it rejects. The order changes how soon a document is rejected, never
-    whether.
+    Each rule runs, with its measures, over a sample: the ``sample_rows`` rows of
+    ``docs`` of the least hashes of their texts, written once. Its cost is the
+    seconds it adds to a run that only reads the texts, its selectivity the share
+    it rejects. Seconds vary, so the order may differ between runs. It changes how
+    soon a document is rejected and by which rule, never whether.
     """
-    sample = measured(docs.sample(fraction=sample_share, seed=seed).limit(sample_rows))
+    text = F.col("text").cast("string")
+    sample = materialize(docs.select(text.alias("text")).orderBy(F.xxhash64("text")).limit(sample_rows), "sample")
 
-    def run(measure: Column) -> tuple[float, float]:
+    def run(rows: DataFrame, measure: Column) -> tuple[float, float]:
         began = time.perf_counter()
-        found = sample.agg(F.sum(measure), F.count("*")).first()
+        found = rows.agg(F.sum(measure), F.count("*")).first()
         return time.perf_counter() - began, (found[0] or 0) / max(1, found[1])
 
-    plain = min(run(F.length(F.col("text").cast("string")) * 0)[0] for _ in range(2))
+    plain = min(run(sample, F.length("text") * 0)[0] for _ in range(2))
     scored = []
     for at, rule in enumerate(rules):
-        seconds, share = run(F.coalesce(rule.fails, F.lit(False)).cast("int"))
+        seconds, share = run(measured(sample, rule.needs), F.coalesce(rule.fails, F.lit(False)).cast("int"))
         scored.append((-share / max(1e-3, seconds - plain), at, rule))
     return [rule for _, _, rule in sorted(scored, key=lambda x: x[:2])]
 
 
-def cascade(rules: list[Rule]) -> Column:
-    """Name of the first rule that fails, null if none does. A branch of CASE is evaluated only when those above did not hold."""
-    verdict = F.lit(None).cast("string")
-    for rule in reversed(rules):
-        verdict = F.when(rule.fails, F.lit(rule.name)).otherwise(verdict)
-    return verdict
+def cascade(docs: DataFrame, rules: list[Rule], done: frozenset[str] = frozenset()) -> DataFrame:
+    """Add ``rejected_by``: the name of the first rule that fails, null if none does.
 
+    A rule's measures are taken only of documents that no rule before it
+    rejected. ``done``: measures that are there already.
+    """
+    docs = docs.withColumn("rejected_by", F.lit(None).cast("string"))
+    for rule in rules:
+        open_ = F.col("rejected_by").isNull()
+        docs = measured(docs, rule.needs, open_, done)
+        done |= {s for n in rule.needs for s in (*STEPS.get(n, ()), n)}
+        docs = docs.withColumn("rejected_by", F.when(open_ & rule.fails, F.lit(rule.name)).otherwise(F.col("rejected_by")))
+    return docs
 
-def _judged(docs: DataFrame, rules: list[Rule] | None, ordered: bool) -> DataFrame:
-    rules = rules if rules is not None else [*base_rules(), *default_rules()]
-    rules = order_rules(docs, rules) if ordered else rules
-    docs = measured(docs)
-    # beside a column that is not deterministic, filters stay above the measures: pushed below, they would repeat them over and over
-    return docs.withColumns({"rejected_by": cascade(rules), "_mr_hold": F.monotonically_increasing_id()})
+
+def _all_rules() -> list[Rule]:
+    return [*base_rules(), *default_rules()]
 
 
 def judge(docs: DataFrame, rules: list[Rule] | None = None, ordered: bool = True) -> DataFrame:
-    """Add the measures and ``rejected_by`` (null: kept) to ``docs``. Rules are ordered on a sample of ``docs`` first."""
-    return _judged(docs, rules, ordered).drop("_mr_hold")
+    """Add the measures, of all documents, and ``rejected_by`` (null: kept) to ``docs``; own columns of these names are replaced. Rules are ordered on a sample of ``docs`` first."""
+    rules = rules if rules is not None else _all_rules()
+    rules = order_rules(docs, rules) if ordered else rules
+    done = frozenset(s for n in MEASURES for s in (*STEPS.get(n, ()), n))
+    own = [c for c in docs.columns if c not in (*MEASURES, "rejected_by")]
+    return cascade(measured(docs), rules, done).select(*own, *MEASURES, "rejected_by")
 
 
 def keep(docs: DataFrame, rules: list[Rule] | None = None, ordered: bool = True) -> DataFrame:
-    """The rows of ``docs`` that no rule rejects, with their own columns."""
-    return _judged(docs, rules, ordered).where("rejected_by IS NULL AND _mr_hold >= 0").select(*docs.columns)
+    """The rows of ``docs`` that no rule rejects, with their own columns. Null texts have no words and are rejected; repeated rows stay or go together; an empty table gives an empty result."""
+    rules = rules if rules is not None else _all_rules()
+    rules = order_rules(docs, rules) if ordered else rules
+    # own columns under other names, as the rules' names may clash with them
+    own = {c: f"_mr_own{i}" for i, c in enumerate(docs.columns)}
+    held = docs.select(F.col("text").cast("string").alias("text"), *(F.col(f"`{c}`").alias(n) for c, n in own.items() if c != "text"), F.col("text").alias(own["text"]))
+    # beside a column that is not deterministic, the filter stays above the measures: pushed below, it would repeat them over and over
+    judged = cascade(held, rules).withColumn("_mr_hold", F.monotonically_increasing_id()).where("rejected_by IS NULL AND _mr_hold >= 0")
+    return judged.select(*(F.col(n).alias(c) for c, n in own.items()))
 
 
 def op4_quality(spark, sf_dir: str) -> DataFrame:
     """Null texts have no words and fail the base; repeated rows stay repeated; an empty table gives an empty result."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     base = base_rules()
-    rules = order_rules(docs, [*base, *default_rules()])
-    docs = measured(docs)
-    failed = base[0].fails | base[1].fails
-    return docs.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), cascade(rules).isNull().alias("kept"))
+    judged = judge(docs, [*base, *default_rules()])
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (base[0].fails | base[1].fails).alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
 
 
 def measures_sql(source: str) -> str:
