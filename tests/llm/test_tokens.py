@@ -116,7 +116,7 @@ def test_op8_pieces(spark, library, texts, odd, odd_rows, empty):
     sequences = check_pieces(library, texts, packing.op8_packing(spark, SF).collect(), 4096)
     tokens = sum(p.length for own in sequences.values() for p in own)
     assert len(sequences) <= tokens / 4096 * 1.02 + 1
-    check_pieces(library, odd_rows, packing.pack(odd, default_path(), capacity=64, group_docs=3).collect(), 64)
+    check_pieces(library, odd_rows, packing.pack(odd, default_path(), capacity=64, group_pieces=3).collect(), 64)
     assert packing.pack(empty, default_path()).count() == 0
 
 
