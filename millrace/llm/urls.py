@@ -98,8 +98,8 @@ def rule_index(spark: SparkSession, urls: DataFrame, patterns: tuple[Pattern, ..
 def pattern_hits(urls: DataFrame, patterns: tuple[Pattern, ...] = PATTERNS) -> DataFrame:
     """(_mr_url, pattern) of the distinct URLs that a pattern matches, the first in name order where several do.
 
-    Equal URLs are merged before anything else, so a URL on a third of the rows
-    costs one. A URL's tokens fetch the rules indexed under them (a join with the
+    Equal URLs are merged before anything else, so the patterns see a URL on a
+    third of the rows once. A URL's tokens fetch the rules indexed under them (a join with the
     rule table, which is as large as the rule list); only those run.
     """
     urls = urls.groupBy("_mr_url").agg(F.lit(1).alias("_mr_one")).where("_mr_url IS NOT NULL")
@@ -108,23 +108,28 @@ def pattern_hits(urls: DataFrame, patterns: tuple[Pattern, ...] = PATTERNS) -> D
     return candidates.where("lower(_mr_url) RLIKE _mr_regex").groupBy("_mr_url").agg(F.min("_mr_pattern").alias("pattern"))
 
 
-def filter_urls(pages: DataFrame, url: str = "url", rules: tuple[HostRule, ...] = HOST_RULES, patterns: tuple[Pattern, ...] = PATTERNS) -> DataFrame:
+def filter_urls(pages: DataFrame, url: str = "url", rules: tuple[HostRule, ...] = HOST_RULES, patterns: tuple[Pattern, ...] = PATTERNS, shares: int = 64) -> DataFrame:
     """Add host, path, rule, pattern and verdict to ``pages``; own columns of these names are replaced.
 
     Host rules decide where one fits; elsewhere a URL is blocked if a pattern
     matches and allowed if none does. Null URLs have no host and are allowed.
-    Repeated rows stay repeated.
+    Repeated rows stay repeated; an empty table gives an empty result. Rows of
+    one URL, or of none, meet the patterns' hits in ``shares`` places, and the
+    few URLs that a pattern matches are repeated for that.
     """
-    kept = pages.drop("host", "path", "rule", "pattern", "verdict").withColumn("_mr_url", F.col(url).cast("string"))
-    hits = pattern_hits(kept.select("_mr_url"), patterns)
+    kept = pages.drop("host", "path", "rule", "pattern", "verdict")
+    share = F.pmod(F.xxhash64(*kept.columns) + F.spark_partition_id(), F.lit(shares))
+    kept = kept.withColumns({"_mr_url": F.col(url).cast("string"), "_mr_share": share})
+    hits = pattern_hits(kept.select("_mr_url"), patterns).withColumn("_mr_share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
     host, path = host_and_path(F.col("_mr_url"))
-    judged = kept.join(hits, "_mr_url", "left").withColumns({"host": host, "path": path})
+    judged = kept.join(hits, ["_mr_url", "_mr_share"], "left").drop("_mr_share").withColumns({"host": host, "path": path})
     rule, verdict = host_verdict(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("pattern").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
     return judged.withColumns({"rule": rule, "verdict": F.coalesce(verdict, own)}).drop("_mr_url")
 
 
 def op6_url_filters(spark, sf_dir: str) -> DataFrame:
+    """All pages, judged by their URLs. Nulls, ties and repeated rows as in ``filter_urls`` and ``host_verdict``."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return filter_urls(pages).select("page_id", "host", "path", "rule", "verdict", "pattern")
 
