@@ -52,9 +52,9 @@ def host_path(url):
 
 def test_op6_equals_every_rule_on_every_url(spark, empty):
     odd = [None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/x?y#z", "https://a.b.net/es/1", "https://net/fr/", "https://xnet/fr/", "https://example.com/en", "https://example.com?/en/", "x://a://b/c", "https://u.org/banner/1", "https://u.org/a/login", "https://ads-track.e.org/1", "https://u.org/CASINO", "https://u.com/casino", "https://u.org/casinos", "https://m.mirror/list", "https://é.org/ß"]
-    rows = [(i, u, "x", "y", "z") for i, u in enumerate(odd)] + [(0, None, "x", "y", "z"), (11, odd[11], "x", "y", "z")]
-    rows += [(r.page_id, r.url, "h", "p", "v") for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
-    pages = spark.createDataFrame(rows, "page_id long, url string, host string, path string, pattern string")
+    rows = [(i, u, *"xyzvw") for i, u in enumerate(odd)] + [(0, None, *"xyzvw"), (11, odd[11], *"xyzvw")]
+    rows += [(r.page_id, r.url, *"hpvrw") for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    pages = spark.createDataFrame(rows, "page_id long, url string, host string, path string, pattern string, rule string, verdict string")
     got = urls.filter_urls(pages).collect()
     assert len(got) == len(rows)
     for r in got:
@@ -89,6 +89,60 @@ def test_op1_finds_notices_and_nothing_else(spark, texts):
     assert hits
 
 
+def plain_scan(text, model):
+    """Paragraph by paragraph: how many there are, the predicted ones that no template confirms, and the confirmed ones."""
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^ \t\n\x0b\f\r]", x)]
+    suspect, found = 0, []
+    for i, line in enumerate(lines):
+        words = licences.words_of(line)
+        if not set(words) & set(model.anchors):
+            continue
+        p = model.scores(words)
+        family = model.classes[int(p.argmax())]
+        if family == licences.UNKNOWN or p.max() < model.threshold:
+            continue
+        own = set(licences.shingles_of(words))
+        similarity = max(len(own & set(t)) / min(len(own), len(t)) for t in map(licences.shingles_of, map(licences.words_of, licences.TEMPLATES[family])))
+        if similarity >= 0.6:
+            found.append((i, family, p.max(), similarity))
+        else:
+            suspect += 1
+    return len(lines), suspect, found
+
+
+def test_op1_equals_a_plain_scan_whatever_the_layout(spark, texts):
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    sample = licences.sample_paragraphs(docs, 60)
+    assert sample and sample == licences.sample_paragraphs(docs.repartition(7), 60)
+    model = licences.train(licences.sample_paragraphs(docs))
+    own = [(900_000 + i, f"Some lines first.\n{t}\n\n{t[: len(t) // 2]}") for i, t in enumerate(t for ts in licences.TEMPLATES.values() for t in ts)]
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(texts + own, "doc_id long, text string"), model).collect()}
+    some = 0
+    for doc, text in texts + own:
+        n, suspect, found = plain_scan(text, model)
+        r = got[doc]
+        assert (r.n_paragraphs, r.n_suspect, [(x.paragraph, x.family) for x in r.licences]) == (n, suspect, [f[:2] for f in found]), text
+        for x, (_, _, p, s) in zip(r.licences, found, strict=True):
+            assert abs(x.probability - p) < 1e-5 and abs(x.similarity - s) < 1e-5
+        some += len(found)
+    assert some > len(own)
+
+
+def test_op4_skips_the_measures_of_rejected_documents(spark, odd, odd_rows):
+    from tests.llm.conftest import make
+
+    docs = make(spark, [(1, "two words"), (2, " ".join(f"word{i}" for i in range(80))), (3, "# " * 90)])
+    rules = [*quality.base_rules(), *quality.default_rules()]
+    r = {x.doc_id: x for x in quality.cascade(docs, rules).collect()}
+    assert r[1].rejected_by == "few_words" and r[1].n_repeat_words is None and r[1].n_symbols is None and r[1].n_letters is None
+    assert r[3].rejected_by == "repeats" and r[3].n_repeat_words == 90 and r[3].n_symbols is None
+    assert r[2].rejected_by is None and r[2].n_letters == 320
+    clash = docs.withColumnsRenamed({"lang": "n_words", "source": "rejected_by", "part": "n_letters"})
+    kept = quality.keep(clash)
+    assert kept.columns == clash.columns and [(x.doc_id, x.n_words, x.rejected_by, x.n_letters) for x in kept.collect()] == [(2, "x", "x", "x")]
+    assert quality.keep(make(spark, [])).count() == 0
+
+
 def test_op1_held_out_wordings_odd_rows_and_scores(spark, odd, odd_rows, empty):
     from tests.llm.conftest import make
 
