@@ -11,6 +11,7 @@ from millrace.functions import scalars as S
 from millrace.operators import families as fam
 from millrace.operators import metrics as met
 from millrace.operators import sequences as seq
+from millrace.operators import statistics as stats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,40 +78,63 @@ def eval_exclusion(spark, d):
 
 
 @query("""WITH w AS (SELECT doc_id, list_filter(string_split(regexp_replace(lower(replace(replace(text, 'ẞ', 'ss'), 'ß', 'ss')), '[^0-9a-z]+', ' ', 'g'), ' '), lambda x: x <> '') AS ws FROM documents)
-SELECT doc_id, len(ws)::INT AS words, CASE WHEN len(ws) >= 5 THEN len(list_distinct(list_transform(range(1, len(ws) - 3), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] || ' ' || ws[i + 4]))) ELSE 0 END::INT AS shingles FROM w""")
+SELECT doc_id, len(ws)::INT AS words, CASE WHEN len(ws) >= 5 THEN len(list_distinct(list_transform(range(1, len(ws) - 3), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] || ' ' || ws[i + 4]))) ELSE least(len(ws), 1) END::INT AS shingles FROM w""")
 def shingle_counts(spark, d):
     words = table(spark, d, "documents").select("doc_id", S.folded_words(F.col("text")).alias("ws"))
     return words.select("doc_id", F.size("ws").alias("words"), F.size(S.word_shingles(F.col("ws"), 5)).alias("shingles"))
 
 
-@query(f"WITH e AS (SELECT doc_id, unnest(range(1, 5)) AS epoch FROM documents), h AS (SELECT epoch, {hash_sql("doc_id || ':' || epoch", 'mode')} AS h FROM e), m AS (SELECT epoch, CASE WHEN h < 0.5 THEN 'text' WHEN h < 0.7 THEN 'image' ELSE 'both' END AS mode FROM h) SELECT epoch::INT AS epoch, mode, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY epoch), 6) AS share FROM m GROUP BY epoch, mode")
+def draw_sql(value: str, epoch: str) -> str:
+    return f"(('0x' || substr(sha256('42:' || {epoch} || ':' || {value}), 1, 16))::UBIGINT::DOUBLE / 18446744073709551616.0)"
+
+
+@query(f"WITH e AS (SELECT doc_id, unnest(range(1, 5)) AS epoch FROM documents), h AS (SELECT epoch, {draw_sql('doc_id', 'epoch')} AS h FROM e), m AS (SELECT epoch, CASE WHEN h < 0.5 THEN 'text' WHEN h < 0.7 THEN 'image' ELSE 'both' END AS mode FROM h) SELECT epoch::INT AS epoch, mode, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY epoch), 6) AS share FROM m GROUP BY epoch, mode")
 def mode_mix(spark, d):
     counts = fam.modes(table(spark, d, "documents").select("doc_id")).groupBy("epoch", "mode").agg(F.count("*").alias("n"))
     return counts.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("epoch")), 6))
 
 
-@query(f"SELECT source, doc_id, rank::INT AS rank FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY {hash_sql('doc_id', 'twin')}, doc_id) AS rank FROM documents) WHERE rank <= 20")
+def raw_sql(value: str, salt: str) -> str:
+    return f"('0x' || substr(sha256('42:{salt}:' || {value}), 1, 16))::UBIGINT"
+
+
+@query(f"SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY {raw_sql('doc_id', 'twin-cap')}, doc_id) AS rank FROM documents) WHERE rank <= 20")
 def twin_cap(spark, d):
     return fam.cap_twins(table(spark, d, "documents").select("source", "doc_id"), "source")
 
 
-@query(f"WITH r AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY {hash_sql('doc_id', 'turn')}, doc_id) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM documents), e AS (SELECT *, unnest(range(1, 5)) AS epoch FROM r) SELECT source, epoch::INT AS epoch, doc_id FROM e WHERE ((r - (epoch - 1) * 2) % n + n) % n < 2")
+@query(f"WITH r AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY {raw_sql("source || ':' || doc_id", 'data_mix:twin_rotation')}, doc_id) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM documents), e AS (SELECT *, unnest(range(1, 5)) AS epoch FROM r) SELECT source, epoch::INT AS epoch, doc_id FROM e WHERE ((r - (epoch - 1) * least(2, n)) % n + n) % n < least(2, n)")
 def twin_rotation(spark, d):
     return fam.rotation(table(spark, d, "documents").select("source", "doc_id"), "source").select("source", "epoch", "doc_id")
 
 
-@query(f"""WITH s AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL), t AS (SELECT *, n * 200 / (SELECT count(*) FROM documents) AS share FROM s),
-q AS (SELECT *, greatest(1, floor(share))::BIGINT AS f, share - floor(share) AS part FROM t), e AS (SELECT *, row_number() OVER (ORDER BY part DESC, lang, source) <= 200 - sum(f) OVER () AS extra FROM q),
-r AS (SELECT doc_id, lang, source, row_number() OVER (PARTITION BY lang, source ORDER BY {hash_sql('doc_id', 'sample')}, doc_id) AS rank FROM documents)
-SELECT doc_id, lang, source FROM r JOIN e USING (lang, source) WHERE rank <= least(n, f + extra::BIGINT)""")
+REHEARSAL_SQL = f"""WITH old AS (SELECT doc_id, lang, source, row_number() OVER (PARTITION BY lang, source ORDER BY {raw_sql('doc_id', 'data_mix:rehearsal')}, doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang, source) AS n, count(*) OVER (PARTITION BY lang) AS total FROM documents WHERE doc_id % 4 <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY (i + {hash_sql('source', 'data_mix:rehearsal_carrier')}) / n, {raw_sql('source', 'data_mix:rehearsal_carrier')}, doc_id) - 1 AS p, least(total, greatest(1, floor(0.3 * total + 0.5)))::BIGINT AS k FROM old),
+e AS (SELECT *, unnest(range(1, 5)) AS epoch FROM placed)
+SELECT doc_id, epoch::INT AS epoch FROM e WHERE ((p - (epoch - 1) * k) % total + total) % total < k UNION ALL SELECT doc_id, unnest(range(1, 5))::INT FROM documents WHERE doc_id % 4 = 0"""
+
+
+@query(REHEARSAL_SQL)
+def rehearsal_rotation(spark, d):
+    """New documents (every fourth here) and a third of the old ones a turn, by language, sources spread evenly."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source")
+    return fam.rehearsal(docs, "lang", "source", F.col("doc_id") % 4 != 0, 0.3).select("doc_id", "epoch")
+
+
+@query("""WITH s AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL), t AS (SELECT *, n * 200 / (SELECT count(*) FROM documents) AS share FROM s),
+q AS (SELECT *, greatest(1, floor(share))::BIGINT AS f, share - floor(share) AS part FROM t), p AS (SELECT *, 200 - sum(f) OVER () AS spare, sum((f < n)::INT) OVER (ORDER BY part DESC, lang, source ROWS UNBOUNDED PRECEDING) AS place FROM q),
+e AS (SELECT lang, source, f + (f < n AND place <= spare)::BIGINT AS quota FROM p),
+r AS (SELECT doc_id, lang, source, row_number() OVER (PARTITION BY lang, source ORDER BY sha256(doc_id::VARCHAR), doc_id) AS rank FROM documents)
+SELECT doc_id, lang, source FROM r JOIN e USING (lang, source) WHERE rank <= quota OR (SELECT count(*) FROM documents) <= 200""")
 def stratified_sample(spark, d):
     return fam.stratified_sample(table(spark, d, "documents").select("doc_id", "lang", "source"), ["lang", "source"], 200).select("doc_id", "lang", "source")
 
 
-@query("WITH n AS (SELECT lang, count(*) AS n FROM documents GROUP BY 1) SELECT lang, n, least(8, ceil(400 / n))::INT AS repeats, n * least(8, ceil(400 / n))::BIGINT AS rows FROM n")
+@query("WITH n AS (SELECT lang, count(*) AS n FROM documents GROUP BY 1), t AS (SELECT *, least(400, max(n) OVER ()) AS target FROM n), r AS (SELECT lang, n, CASE WHEN n >= target THEN 1 ELSE least(8, ceil(target / n)) END::INT AS repeats FROM t) SELECT lang, n, repeats, n * repeats::BIGINT AS rows FROM r")
 def row_repeat_balance(spark, d):
-    copies = fam.repeats_to_target(table(spark, d, "documents").select("lang", "doc_id"), "lang", 400)
-    return copies.groupBy("lang", "n", "repeats").agg(F.count("*").alias("rows"))
+    docs = table(spark, d, "documents").select("lang", "doc_id")
+    copies = fam.repeats_to_target(docs, "lang", 400).groupBy("lang").agg(F.count("*").alias("rows"))
+    return fam.line_repeats(docs, "lang", 400).join(copies, "lang")
 
 
 @query("WITH v AS (SELECT doc_id, unnest([lang, source]) AS value FROM documents), n AS (SELECT value, count(DISTINCT doc_id) AS documents FROM v GROUP BY 1) SELECT value, documents, round(documents / (SELECT count(*) FROM documents), 6) AS share, documents / (SELECT count(*) FROM documents) < least(0.2, 0.75 / (SELECT count(*) FROM n)) AS under FROM n")
@@ -128,14 +152,14 @@ def target_stats(spark, d):
     return split.groupBy("split", "lang", "source").agg(F.count("*").alias("n"), F.count_if(F.length(F.trim("text")) == 0).alias("empty"), F.round(F.avg("n_chars"), 4).alias("mean_chars"))
 
 
-TOKENS_SQL = "(length(regexp_replace(text, '[^0-9]', '', 'g')) + floor((length(text) - length(regexp_replace(text, '[^0-9]', '', 'g'))) / 3.5)::BIGINT + 1)"
+TOKENS_SQL = "(CASE WHEN length(coalesce(text, '')) = 0 THEN 0 ELSE length(regexp_replace(text, '\\P{Nd}+', '', 'g')) + floor((length(text) - length(regexp_replace(text, '\\P{Nd}+', '', 'g'))) / 3.5)::BIGINT + 1 END)"
 
 
-@query(f"SELECT doc_id, {TOKENS_SQL}::BIGINT AS tokens, ceil({TOKENS_SQL} * 1.25)::BIGINT AS answer, CASE WHEN {TOKENS_SQL} > 32768 THEN 'total' WHEN ceil({TOKENS_SQL} * 1.25) > 8192 THEN 'answer' ELSE 'fits' END AS verdict FROM documents")
+@query(f"SELECT doc_id, {TOKENS_SQL}::BIGINT AS tokens, ceil({TOKENS_SQL} * 1.25)::BIGINT AS answer, CASE WHEN ceil({TOKENS_SQL} * 1.25) > 8192 THEN 'answer' WHEN {TOKENS_SQL} > 32768 THEN 'total' ELSE 'fits' END AS verdict FROM documents")
 def cap_check(spark, d):
     text = F.col("text")
     tokens, answer = S.text_tokens(text).cast("long"), S.answer_tokens(text).cast("long")
-    return table(spark, d, "documents").select("doc_id", tokens.alias("tokens"), answer.alias("answer"), F.when(tokens > 32768, "total").when(answer > 8192, "answer").otherwise("fits").alias("verdict"))
+    return table(spark, d, "documents").select("doc_id", tokens.alias("tokens"), answer.alias("answer"), F.when(answer > 8192, "answer").when(tokens > 32768, "total").otherwise("fits").alias("verdict"))
 
 
 @query("WITH s AS (SELECT l_orderkey, sum(l_extendedprice) AS summed FROM lineitem GROUP BY 1) SELECT CASE WHEN o_totalprice IS NULL OR summed IS NULL THEN 'unverifiable' WHEN abs(o_totalprice - summed) <= 0.51 THEN 'reconciled' ELSE 'mismatch' END AS status, count(*) AS n FROM orders FULL JOIN s ON o_orderkey = l_orderkey GROUP BY 1")
@@ -275,13 +299,17 @@ def latest_promoted(spark, d):
     return done.groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("o_orderkey"))
 
 
-@query("WITH t AS (SELECT c_mktsegment, c_name, (abs(c_acctbal) % 1000) / 1000 AS p FROM customer), r AS (SELECT *, 0.05 / (count(*) OVER (PARTITION BY c_mktsegment) - row_number() OVER (PARTITION BY c_mktsegment ORDER BY p, c_name) + 1) AS level FROM t) SELECT c_mktsegment, c_name, round(p, 9) AS p, bool_and(p <= level) OVER (PARTITION BY c_mktsegment ORDER BY p, c_name) AS shown FROM r")
+@query("""WITH t AS (SELECT c_mktsegment, c_name, (abs(c_acctbal) % 1000) / 1000 AS p FROM customer), r AS (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY p, c_name) AS rank, count(*) OVER (PARTITION BY c_mktsegment) AS m FROM t),
+l AS (SELECT *, 0.05 / (m - rank + 1) AS level, least(1.0, (m - rank + 1) * p) AS own FROM r),
+w AS (SELECT *, max(own) OVER (PARTITION BY c_mktsegment ORDER BY rank) AS adjusted, first(CASE WHEN p > level THEN c_name END) OVER (PARTITION BY c_mktsegment ORDER BY rank) AS f FROM l),
+x AS (SELECT c_mktsegment, min(rank) AS stop, arg_min(c_name, rank) AS name FROM l WHERE p > level GROUP BY 1)
+SELECT w.c_mktsegment, c_name, round(p, 9) AS p, rank::INT AS rank, round(adjusted, 6) AS adjusted_p, coalesce(rank < stop, true) AS shown, CASE WHEN rank > stop THEN x.name END AS stopped_by FROM w LEFT JOIN x USING (c_mktsegment)""")
 def holm_step_down(spark, d):
     tests = table(spark, d, "customer").select("c_mktsegment", "c_name", ((F.abs("c_acctbal") % 1000) / 1000).alias("p"))
-    return met.holm(tests, "c_mktsegment", "c_name", "p").select("c_mktsegment", "c_name", F.round("p", 9).alias("p"), "shown")
+    return stats.holm(tests, "c_mktsegment", "c_name", "p").select("c_mktsegment", "c_name", F.round("p", 9).alias("p"), "rank", F.round("adjusted_p", 6).alias("adjusted_p"), "shown", "stopped_by")
 
 
-@query("SELECT value, upper(regexp_replace(value, '[^A-Za-z0-9]', '', 'g')) AS identifier, CASE WHEN regexp_matches(value, '^[0-9][0-9,]*([.][0-9]+)?$') THEN 'number' WHEN regexp_matches(value, '^([0-9]{1,2}[/-][0-9]{1,2}[/-][0-9]{2,4}|[0-9]{4}-[0-9]{2}-[0-9]{2})$') THEN 'date' WHEN regexp_matches(value, '^[A-Za-z0-9-]+$') AND regexp_matches(value, '[0-9]') THEN 'identifier' ELSE 'name' END AS shape, n FROM (SELECT unnest([o_orderpriority, strftime(o_orderdate, '%Y-%m-%d'), o_orderkey::VARCHAR]) AS value, count(*) AS n FROM orders GROUP BY 1)")
+@query("SELECT value, upper(regexp_replace(value, '[^A-Za-z0-9]', '', 'g')) AS identifier, CASE WHEN regexp_full_match(value, '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN 'date' WHEN regexp_full_match(value, '[A-Z0-9][A-Z0-9/ -]{4,}') THEN 'identifier' ELSE 'name' END AS shape, n FROM (SELECT unnest([o_orderpriority, strftime(o_orderdate, '%Y-%m-%d'), o_orderkey::VARCHAR]) AS value, count(*) AS n FROM orders GROUP BY 1)")
 def value_shapes(spark, d):
     orders = table(spark, d, "orders")
     values = orders.select(F.explode(F.array("o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderkey").cast("string"))).alias("value")).groupBy("value").agg(F.count("*").alias("n"))
@@ -289,8 +317,11 @@ def value_shapes(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from millrace.plans import evaluation, values  # noqa: F401  they add their queries
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(ORACLES)

@@ -1,12 +1,8 @@
-"""Every query with SQL against DuckDB, on the smallest tables; operators on rows made by hand."""
+"""Every query with SQL against DuckDB, on the smallest tables; the others give rows."""
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
-from millrace.functions import scalars as S
-from millrace.operators import metrics as met
-from millrace.operators import sequences as seq
 from millrace.plans import registry
 
 SF = "/root/testdata/sf0.001"
@@ -21,7 +17,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(registry.ORACLES))
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_equals_its_sql(spark, duck, name):
     got = registry.QUERIES[name](spark, SF)
     columns = sorted(got.columns)
@@ -31,21 +27,7 @@ def test_query_equals_its_sql(spark, duck, name):
     assert sorted((tuple(r) for r in got.select(*columns).collect()), key=repr) == sorted((tuple(r[i] for i in at) for r in want.fetchall()), key=repr)
 
 
-def test_scalars(spark):
-    rows = spark.createDataFrame([("$1,234.50",), ("(12.5)",), ("7-",), ("abc",), (None,)], "v string")
-    assert [r[0] for r in rows.select(S.currency(F.col("v"))).collect()] == [1234.5, -12.5, -7.0, None, None]
-    words = spark.createDataFrame([("Straße ÄB c-d",)], "v string").select(S.folded_words(F.col("v")))
-    assert words.first()[0] == ["strasse", "b", "c", "d"]
-
-
-def test_reconcile_has_all_three_results(spark):
-    lines = spark.createDataFrame([(1, 10.0), (1, 5.25), (2, 3.0), (3, 1.0)], "k int, a double")
-    totals = spark.createDataFrame([(1, 15.5), (2, 9.0), (4, 1.0)], "k int, t double")
-    assert {r.k: r.status for r in met.reconcile(lines, totals, "k", "a", "t").collect()} == {1: "reconciled", 2: "mismatch", 3: "unverifiable", 4: "unverifiable"}
-
-
-def test_even_chunks(spark):
-    for n, most, want in ((7, 3, [3, 2, 2]), (6, 4, [3, 3]), (1, 5, [1]), (10, 4, [4, 3, 3])):
-        rows = spark.createDataFrame([("d", i) for i in range(n)], "k string, p int")
-        sizes = {r.chunk: r["count"] for r in seq.split_evenly(rows, "k", "p", most).groupBy("chunk").count().collect()}
-        assert [sizes[i + 1] for i in range(len(want))] == want
+def test_queries_without_sql_give_rows(spark):
+    names = sorted(set(registry.queries()) - set(registry.oracle_sql()))
+    assert names == ["bootstrap_ci"]
+    assert registry.queries()["bootstrap_ci"](spark, SF).count() == 2
