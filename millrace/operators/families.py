@@ -320,3 +320,66 @@ def round_robin_pick(docs: DataFrame, line: str, synthetic: str, count: int, sal
 def interleaved_epochs(docs: DataFrame, key: str, epochs: int) -> DataFrame:
     """``key``, epochs: documents that do not stand once in each of the epochs 1 to ``epochs`` (a column epoch), with the number of epochs they stand in."""
     return docs.groupBy(key).agg(F.count_distinct("epoch").alias("epochs"), F.count("*").alias("_mr_n")).where((F.col("epochs") != epochs) | (F.col("_mr_n") != epochs)).drop("_mr_n")
+
+
+def cell_splits(groups: DataFrame, cell: str, seed: int = 42, with_test: bool = True) -> DataFrame:
+    """Add split to rows (group_id, documents): within each cell the families in hash order, the first train, then val, then test.
+
+    Shares follow the volume of all documents, val and test have one family at
+    least; cells under REPAIRED families train whole. A cell's families are few.
+    """
+    total = groups.agg(F.sum("documents")).first()[0] or 0
+    train, upto = next((t, v) for most, t, v in BANDS if most is None or total < most)
+    shares = (train, upto - train, 1 - upto) if with_test else (train / upto, 1 - train / upto, 0.0)
+    by = Window.partitionBy(cell)
+    ranked = groups.withColumns({"_mr_r": F.row_number().over(by.orderBy(stable_hash(F.col("group_id"), seed), "group_id")) - 1, "_mr_n": F.count("*").over(by)})
+    tests = F.greatest(F.lit(1), F.bround(F.col("_mr_n") * round(shares[2], 10))) if with_test else F.lit(0)
+    vals = F.greatest(F.lit(1), F.bround(F.col("_mr_n") * round(shares[1], 10)))
+    trains = F.col("_mr_n") - tests - vals
+    split = F.when((F.col("_mr_n") < REPAIRED) | (F.col("_mr_r") < trains), "train").when(F.col("_mr_r") < trains + vals, "val").otherwise("test")
+    return ranked.withColumn("split", split).drop("_mr_r", "_mr_n")
+
+
+def delivered_splits(rows: DataFrame, trained: DataFrame | None = None) -> DataFrame:
+    """group_id, split, moved of rows (group_id, source_id, split): one split a family, else an error; families with a trained source go back to train."""
+    found = rows.groupBy("group_id").agg(F.collect_set("split").alias("_mr_s"), F.count_if(F.col("split").isNull()).alias("_mr_null"))
+    bad = found.where("size(_mr_s) <> 1 OR _mr_null > 0 OR NOT array_contains(array('train', 'val', 'test'), _mr_s[0])").limit(5).collect()
+    if bad:
+        raise ValueError(f"families without a single delivered split: {[r.group_id for r in bad]}")
+    own = found.select("group_id", F.get("_mr_s", F.lit(0)).alias("split"))
+    if trained is None:
+        return own.withColumn("moved", F.lit(False))
+    pinned = rows.join(trained.select("source_id").distinct(), "source_id", "left_semi").select("group_id").distinct().withColumn("_mr_p", F.lit(True))
+    joined = own.join(pinned, "group_id", "left")
+    back = F.coalesce("_mr_p", F.lit(False)) & (F.col("split") != "train")
+    return joined.select("group_id", F.when(back, "train").otherwise(F.col("split")).alias("split"), back.alias("moved"))
+
+
+def in_share(key: Column, share: float, salt: str) -> Column:
+    """Whether the first 48 bits of sha256('salt:key') lie below ``share`` of their range."""
+    if share <= 0 or share >= 1:
+        return F.lit(share >= 1)
+    return F.conv(F.substring(F.sha2(F.concat(F.lit(f"{salt}:"), key.cast("string")), 256), 1, 12), 16, 10).cast("double") / F.lit(float(16**12)) < share
+
+
+def double_annotation(docs: DataFrame, rate: float, seed: int = 42, key: str = "doc_id") -> DataFrame:
+    """Distinct ids in the share; the least id if the share is above 0 and takes none."""
+    ids = docs.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_mr_in", stable_hash(F.col(key), seed, "double") < rate)
+    some = ids.agg(F.max("_mr_in").alias("_mr_any"), F.min(key).alias("_mr_least"))
+    return ids.join(F.broadcast(some)).where(F.col("_mr_in") | (~F.col("_mr_any") & (F.lit(rate) > 0) & (F.col(key) == F.col("_mr_least")))).select(key)  # some is one row
+
+
+def synthetic_budget(fraction: Column, real: Column, available: Column) -> Column:
+    """How many synthetic documents make up ``fraction`` beside the real ones, the available ones at most; all of them without a fraction below 1 or without real ones."""
+    wanted = F.floor(fraction * real / (1 - fraction) + 0.5)
+    return F.when(fraction.isNull() | (fraction >= 1) | (real == 0), available).otherwise(F.least(available, wanted)).cast("long")
+
+
+def mixed_lines(docs: DataFrame, line: str, synthetic: str, family: str, fraction: float | None, seed: int = 42, key: str = "doc_id") -> DataFrame:
+    """All real documents of every line and its budget of synthetic ones, families in turn."""
+    sizes = docs.groupBy(F.col(line).alias("_mr_l")).agg(F.count_if(~F.col(synthetic)).alias("_mr_real"), F.count_if(F.col(synthetic)).alias("_mr_made"))
+    budget = synthetic_budget(F.lit(fraction).cast("double"), F.col("_mr_real"), F.col("_mr_made"))
+    made = docs.where(F.col(synthetic)).withColumn("_mr_turn", F.row_number().over(Window.partitionBy(line, family).orderBy(raw_hash(F.col(key), seed, "data_mix"), key)))
+    made = made.withColumn("_mr_place", F.row_number().over(Window.partitionBy(line).orderBy("_mr_turn", raw_hash(F.col(family), seed, "data_mix"), family)))
+    kept = made.join(F.broadcast(sizes), F.col(line).eqNullSafe(F.col("_mr_l"))).where(F.col("_mr_place") <= budget)  # a row per line
+    return docs.where(~F.col(synthetic)).unionByName(kept.select(*docs.columns))

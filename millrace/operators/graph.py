@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.tables import written
+from millrace.operators.tables import Scratch, discard
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,14 +16,18 @@ def components(edges: DataFrame) -> DataFrame:
     written; nothing but a flag comes to the driver. Nodes without edges, null
     ones too, are not in the result.
     """
+    table = Scratch()
     pairs = edges.select("a", "b").where("a <> b")
-    both = written(pairs.union(pairs.select("b", "a")).distinct(), "edges")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
+    both = table(pairs.union(pairs.select("b", "a")).distinct(), "edges")
+    labels = table(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_near"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("_old"), F.least("label", "_near").alias("label"))
+        before = labels.select("node", "label")
+        near = both.join(before.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_near"))
+        step = before.join(near, "node").select("node", F.col("label").alias("_old"), F.least("label", "_near").alias("label"))
         jump = step.select(F.col("node").alias("label"), F.col("label").alias("_far"))
-        after = written(step.join(jump, "label", "left").select("node", "_old", F.least("label", F.coalesce("_far", "label")).alias("label")), "labels")
-        labels = after.select("node", "label")
+        after = table(step.join(jump, "label", "left").select("node", "_old", F.least("label", F.coalesce("_far", "label")).alias("label")), "labels")
+        discard(labels)
+        labels = after
         if not after.where("_old <> label").limit(1).count():
-            return labels
+            discard(both)
+            return after.select("node", "label")

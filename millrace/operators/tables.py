@@ -19,8 +19,34 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write to the shared folder and read back: lineage ends there, and a lost executor costs no recomputation."""
     path = f"{shared_dir(df.sparkSession)}/millrace/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", compression).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._millrace_path = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``written`` has written for these tables; nothing may read them any more."""
+    for table in tables:
+        spark, path = table.sparkSession, table.__dict__.get("_millrace_path")
+        if path:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+class Scratch:
+    """Writes like ``written`` and remembers the tables, so that all but the lasting ones can go at the end."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+        self.tables.append(written(df, name, compression))
+        return self.tables[-1]
+
+    def clear(self, *keep: DataFrame) -> None:
+        discard(*(t for t in self.tables if not any(t is k for k in keep)))
+        self.tables = list(keep)

@@ -27,7 +27,6 @@ def test_query_equals_its_sql(spark, duck, name):
     assert sorted((tuple(r) for r in got.select(*columns).collect()), key=repr) == sorted((tuple(r[i] for i in at) for r in want.fetchall()), key=repr)
 
 
-def test_queries_without_sql_give_rows(spark):
-    names = sorted(set(registry.queries()) - set(registry.oracle_sql()))
-    assert names == ["bootstrap_ci"]
-    assert registry.queries()["bootstrap_ci"](spark, SF).count() == 2
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
+def test_queries_without_sql_give_rows(spark, name):
+    assert registry.QUERIES[name](spark, SF).count() > 0
