@@ -20,12 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.shared import documents, per_process, small_batches
-from millrace.llm.wordids import STEMS, WORDS, byte_symbols, default_path
+from millrace.llm.wordids import PLAIN, STEMS, WORDS, byte_symbols, default_path
 
 #: A last symbol stands this far above the same symbol inside a word.
 LAST = 0x10000
 PAIRS = 1_000_000
-PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 
 
 class PrefixBPE:
@@ -148,35 +147,34 @@ class PrefixBPE:
 
 
 class Codec(dict):
-    """word -> (its ids as little-endian unsigned 32-bit bytes, its tokens' names joined by a space)."""
+    """word -> its ids as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
         super().__init__()
         self.bpe, self.stems = PrefixBPE(path), {}
 
-    def _made(self, ids: list[int]) -> tuple[bytes, str]:
-        names = self.bpe.names
-        return pack(f"<{len(ids)}I", *ids), " ".join([names[i] for i in ids])
+    @staticmethod
+    def _made(ids: list[int]) -> bytes:
+        return pack(f"<{len(ids)}I", *ids)
 
-    def stem(self, word: str) -> tuple[bytes, str]:
+    def stem(self, word: str) -> bytes:
         bpe = self.bpe
         made = self._made(bpe.word(word if word.isascii() else "".join([bpe.bytes[b] for b in word.encode()])))
-        if len(self.stems) < STEMS // 2 and len(word) <= 64:
+        if len(self.stems) < STEMS and len(word) <= 64:
             self.stems[word] = made
         return made
 
-    def __missing__(self, word: str) -> tuple[bytes, str]:
+    def __missing__(self, word: str) -> bytes:
         if "<|" not in word and (m := PLAIN.fullmatch(word)):
-            parts = [self.stems.get(x) or self.stem(x) for x in (m[1], m[2].lower(), m[3]) if x]
-            made = parts[0] if len(parts) == 1 else (b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts]))
+            made = b"".join([self.stems.get(x) or self.stem(x) for x in (m[1], m[2].lower(), m[3]) if x])
         else:
             made = self._made(self.bpe.general(word))
-        if len(self) < WORDS // 2 and len(word) <= 64:
+        if len(self) < WORDS and len(word) <= 64:
             self[word] = made
         return made
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join([self[w][0] for w in (text or "").replace("\n", " ").split(" ") if w])
+        return b"".join([self[w] for w in (text or "").replace("\n", " ").split(" ") if w])
 
     def decode(self, ids: bytes) -> str:
         """As the library does without a decoder: the tokens' names with a space between."""
@@ -184,9 +182,9 @@ class Codec(dict):
         return " ".join([names[i] for i in unpack(f"<{len(ids) // 4}I", ids)])
 
     def both(self, text: str | None) -> tuple[bytes, str]:
-        """encode(text) and decode(encode(text)), the latter word by word."""
-        made = [self[w] for w in (text or "").replace("\n", " ").split(" ") if w]
-        return b"".join([m[0] for m in made]), " ".join([m[1] for m in made if m[1]])
+        """The ids of a text, and what they decode to."""
+        ids = self.encode(text)
+        return ids, self.decode(ids)
 
 
 def codec(path: str) -> Codec:
@@ -199,6 +197,7 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def _over(docs: DataFrame, tokenizer: str, schema: str, row, kinds: tuple) -> DataFrame:
+    """A row of ``schema`` per document, from its id, its ids as bytes and their decoded text (null texts: empty). Rows stay one to one, repeated and null ids too; an empty table gives an empty result."""
     small_batches(docs.sparkSession)
     names = [x.split()[0] for x in schema.split(", ")]
 
@@ -212,5 +211,6 @@ def _over(docs: DataFrame, tokenizer: str, schema: str, row, kinds: tuple) -> Da
 
 
 def op9_bpe(spark, sf_dir: str) -> DataFrame:
+    """All documents' ids and their decoded text, as digests. Nulls and repeated rows as in ``_over``."""
     sha = lambda data: hashlib.sha256(data).hexdigest()
     return _over(documents(spark, sf_dir), default_path(), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", lambda doc, ids, decoded: (doc, len(ids) // 4, sha(ids), sha(decoded.encode())), (pa.int64(), pa.int64(), pa.string(), pa.string()))

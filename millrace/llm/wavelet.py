@@ -14,81 +14,131 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import materialize, small_batches
+from millrace.llm.shared import documents, materialize, small_batches
 from millrace.llm.wordids import default_path, word_ids
 
-MAGIC = b"MRWM0001"
-#: Bits that one entry of the rank directory covers.
-BLOCK = 512
+MAGIC = b"MRWM0002"
+#: Bits that one entry of the rank directory covers, and bits that are compressed together.
+BLOCK, CHUNK = 512, 1 << 16
 BLOB = "part int, seq int, n_docs long, n_tokens long, data binary"
 
 
-class WaveletMatrix:
-    """Bit-planes from the highest bit down. Below a plane, symbols with bit 0 come before those with bit 1, each in their order.
+class Plane:
+    """The bits of one level: compressed chunks, the 1 bits before each chunk, and those from there to each block in it. A query opens the chunks that it asks for."""
+
+    def __init__(self, n: int, before: np.ndarray, ranks: np.ndarray, ends: np.ndarray, data: memoryview):
+        self.n, self.before, self.ranks, self.ends, self.data = n, before, ranks, ends, data
+        self.open: dict[int, np.ndarray] = {}
+
+    @classmethod
+    def of(cls, bits: np.ndarray) -> Plane:
+        n = len(bits)
+        chunks = max(1, -(-n // CHUNK))
+        packed = np.zeros(chunks * CHUNK // 8, np.uint8)
+        packed[: -(-n // 8)] = np.packbits(bits, bitorder="little")
+        ones = np.bitwise_count(packed).reshape(chunks, CHUNK // BLOCK, BLOCK // 8).sum(axis=2, dtype=np.int64)
+        inside = np.cumsum(ones, axis=1)
+        before = np.concatenate([[0], np.cumsum(inside[:, -1])]).astype("<u8")
+        ranks = (inside - ones).astype("<u2").ravel()
+        pack = zstandard.ZstdCompressor(level=1).compress
+        parts = [pack(c.tobytes()) for c in packed.reshape(chunks, -1)]
+        return cls(n, before, ranks, np.cumsum([len(x) for x in parts]).astype("<u8"), memoryview(b"".join(parts)))
+
+    def to_bytes(self) -> bytes:
+        return b"".join([struct.pack("<QQ", len(self.ends), len(self.data)), self.before.tobytes(), self.ends.tobytes(), self.ranks.tobytes(), self.data])
+
+    @classmethod
+    def from_bytes(cls, n: int, data: memoryview) -> tuple[Plane, int]:
+        """The plane at the start of ``data``, whose chunks stay closed, and its size in bytes."""
+        chunks, size = struct.unpack_from("<QQ", data)
+        at = 16
+        before = np.frombuffer(data, "<u8", chunks + 1, at)
+        ends = np.frombuffer(data, "<u8", chunks, at + before.nbytes)
+        ranks = np.frombuffer(data, "<u2", chunks * (CHUNK // BLOCK), at + before.nbytes + ends.nbytes)
+        at += before.nbytes + ends.nbytes + ranks.nbytes
+        return cls(n, before, ranks, ends, data[at : at + size]), at + size
+
+    def chunk(self, k: int) -> np.ndarray:
+        if k not in self.open:
+            start = int(self.ends[k - 1]) if k else 0
+            self.open[k] = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(self.data[start : int(self.ends[k])])), np.uint8)
+        return self.open[k]
+
+    @property
+    def total(self) -> int:
+        return int(self.before[-1])
+
+    def bits(self) -> np.ndarray:
+        whole = np.concatenate([self.chunk(k) for k in range(len(self.ends))])
+        return np.unpackbits(whole, count=self.n, bitorder="little").astype(bool)
+
+    def bit(self, at: int) -> int:
+        k, inside = divmod(at, CHUNK)
+        return int(self.chunk(k)[inside >> 3]) >> (inside & 7) & 1
+
+    def ones(self, at: int) -> int:
+        """1 bits before position ``at``."""
+        k, inside = divmod(at, CHUNK)
+        if not inside:
+            return int(self.before[k])
+        block, rest = divmod(inside, BLOCK)
+        count = int(self.before[k]) + int(self.ranks[k * (CHUNK // BLOCK) + block])
+        if not rest:
+            return count
+        chunk, start = self.chunk(k), block * (BLOCK // 8)
+        whole, odd = divmod(rest, 8)
+        count += int(np.bitwise_count(chunk[start : start + whole]).sum())
+        return count + (int(chunk[start + whole] & ((1 << odd) - 1)).bit_count() if odd else 0)
+
+    def select(self, bit: int, k: int) -> int:
+        """Position of the k-th bit of that kind, from 0: chunk and block by binary search, then within the block."""
+        chunks = np.arange(len(self.ends) + 1, dtype=np.int64) * CHUNK
+        before = self.before.astype(np.int64) if bit else chunks - self.before.astype(np.int64)
+        c = min(int(np.searchsorted(before, k, side="right")) - 1, len(self.ends) - 1)
+        k -= int(before[c])
+        blocks = self.ranks[c * (CHUNK // BLOCK) : (c + 1) * (CHUNK // BLOCK)].astype(np.int64)
+        blocks = blocks if bit else np.arange(len(blocks)) * BLOCK - blocks
+        b = int(np.searchsorted(blocks, k, side="right")) - 1
+        inside = np.unpackbits(self.chunk(c)[b * (BLOCK // 8) : (b + 1) * (BLOCK // 8)], bitorder="little") == bit
+        return c * CHUNK + b * BLOCK + int(np.flatnonzero(inside)[k - int(blocks[b])])
 
-    ``zeros[l]`` counts the 0 bits of plane l, ``ranks[l]`` the 1 bits before each
-    block of 512. An empty sequence has planes without bits.
-    """
 
-    def __init__(self, n: int, planes: list[np.ndarray], zeros: list[int]):
-        self.n, self.planes, self.zeros = n, planes, zeros
-        self.depth = len(planes)
-        self._ranks: list[np.ndarray] | None = None
+class WaveletMatrix:
+    """Bit-planes from the highest bit down. Below a plane, symbols with bit 0 come before those with bit 1, each in their order. An empty sequence has planes without bits."""
+
+    def __init__(self, n: int, planes: list[Plane]):
+        self.n, self.planes, self.depth = n, planes, len(planes)
+        self.zeros = [n - p.total for p in planes]
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         x = np.asarray(ids, dtype=np.uint32)
         depth = max(1, int(x.max()).bit_length()) if len(x) else 1
-        planes, zeros = [], []
+        planes = []
         for level in range(depth - 1, -1, -1):
             bit = ((x >> np.uint32(level)) & np.uint32(1)).astype(bool)
-            planes.append(np.packbits(bit, bitorder="little"))
-            low = x[~bit]
-            zeros.append(len(low))
-            x = np.concatenate([low, x[bit]])
-        return cls(len(ids), planes, zeros)
-
-    def bits(self, level: int) -> np.ndarray:
-        return np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
+            planes.append(Plane.of(bit))
+            x = np.concatenate([x[~bit], x[bit]])
+        return cls(len(ids), planes)
 
     def decode(self) -> np.ndarray:
         """The whole sequence, undoing the partitions from the lowest plane up."""
         x = np.zeros(self.n, dtype=np.uint32)
         for level in range(self.depth - 1, -1, -1):
-            bit = self.bits(level)
+            bit = self.planes[level].bits()
             up = np.empty_like(x)
             up[~bit] = x[: self.zeros[level]]
             up[bit] = x[self.zeros[level] :] | np.uint32(1 << (self.depth - 1 - level))
             x = up
         return x
 
-    @property
-    def ranks(self) -> list[np.ndarray]:
-        if self._ranks is None:
-            self._ranks = []
-            for plane in self.planes:
-                padded = np.zeros(-(-max(1, len(plane)) // (BLOCK // 8)) * (BLOCK // 8), dtype=np.uint8)
-                padded[: len(plane)] = plane
-                ones = np.bitwise_count(padded).reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.int64)
-                self._ranks.append(np.concatenate([[0], np.cumsum(ones)]))
-        return self._ranks
-
-    def _ones(self, level: int, at: int) -> int:
-        """1 bits of the plane before position ``at``."""
-        block, rest = divmod(at, BLOCK)
-        start = block * (BLOCK // 8)
-        whole, odd = divmod(rest, 8)
-        count = int(self.ranks[level][block]) + int(np.bitwise_count(self.planes[level][start : start + whole]).sum())
-        return count + (int(self.planes[level][start + whole] & ((1 << odd) - 1)).bit_count() if odd else 0)
-
     def access(self, at: int) -> int:
         if not 0 <= at < self.n:
             raise IndexError(at)
         value = 0
-        for level in range(self.depth):
-            bit = int(self.planes[level][at >> 3]) >> (at & 7) & 1
-            ones = self._ones(level, at)
-            at = self.zeros[level] + ones if bit else at - ones
+        for plane, zeros in zip(self.planes, self.zeros, strict=True):
+            bit, ones = plane.bit(at), plane.ones(at)
+            at = zeros + ones if bit else at - ones
             value = value << 1 | bit
         return value
 
@@ -97,8 +147,8 @@ class WaveletMatrix:
         lo, hi = 0, end
         if value < 0 or value >> self.depth:
             return 0, 0
-        for level in range(self.depth):
-            a, b = self._ones(level, lo), self._ones(level, hi)
+        for level, plane in enumerate(self.planes):
+            a, b = plane.ones(lo), plane.ones(hi)
             if value >> (self.depth - 1 - level) & 1:
                 lo, hi = self.zeros[level] + a, self.zeros[level] + b
             else:
@@ -113,6 +163,16 @@ class WaveletMatrix:
     def count(self, value: int) -> int:
         return self.rank(value, self.n)
 
+    def first_counts(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """How often the symbol at each start occurs from there up to each end: an access and two ranks, level by level for all at once."""
+        at, lo, hi = starts.astype(np.int64), starts.astype(np.int64), ends.astype(np.int64)
+        for plane, zeros in zip(self.planes, self.zeros, strict=True):
+            bits = plane.bits()
+            ones = np.concatenate([[0], np.cumsum(bits, dtype=np.int64)])
+            up = bits[at]
+            at, lo, hi = (np.where(up, zeros + ones[x], x - ones[x]) for x in (at, lo, hi))
+        return hi - lo
+
     def select(self, value: int, k: int) -> int:
         """Position of the k-th occurrence, from 0."""
         lo, hi = self._range(value, self.n)
@@ -121,40 +181,25 @@ class WaveletMatrix:
         at = lo + k
         for level in range(self.depth - 1, -1, -1):
             wanted = value >> (self.depth - 1 - level) & 1
-            at = self._select_bit(level, wanted, at - self.zeros[level] if wanted else at)
+            at = self.planes[level].select(wanted, at - self.zeros[level] if wanted else at)
         return at
 
-    def _select_bit(self, level: int, bit: int, k: int) -> int:
-        """Position of the k-th bit of that kind: block by binary search, then within it."""
-        ranks = self.ranks[level]
-        before = ranks if bit else np.arange(len(ranks)) * BLOCK - ranks
-        block = int(np.searchsorted(before, k, side="right")) - 1
-        start = block * (BLOCK // 8)
-        inside = np.unpackbits(self.planes[level][start : start + BLOCK // 8], bitorder="little") == bit
-        return block * BLOCK + int(np.flatnonzero(inside)[k - int(before[block])])
-
     def positions(self, value: int) -> list[int]:
         return [self.select(value, k) for k in range(self.count(value))]
 
     def to_bytes(self) -> bytes:
-        pack = zstandard.ZstdCompressor(level=1).compress
-        parts = [struct.pack("<QI", self.n, self.depth)]
-        for plane, zero in zip(self.planes, self.zeros, strict=True):
-            data = pack(plane.tobytes())
-            parts += [struct.pack("<QQ", zero, len(data)), data]
-        return b"".join(parts)
+        return b"".join([struct.pack("<QI", self.n, self.depth), *(p.to_bytes() for p in self.planes)])
 
     @classmethod
     def from_bytes(cls, data: bytes | memoryview) -> WaveletMatrix:
+        data = memoryview(data)
         n, depth = struct.unpack_from("<QI", data)
-        at, planes, zeros, unpack = 12, [], [], zstandard.ZstdDecompressor()
+        at, planes = 12, []
         for _ in range(depth):
-            zero, size = struct.unpack_from("<QQ", data, at)
-            at += 16
-            planes.append(np.frombuffer(unpack.decompress(bytes(data[at : at + size])), dtype=np.uint8))
-            zeros.append(zero)
+            plane, size = Plane.from_bytes(n, data[at:])
+            planes.append(plane)
             at += size
-        return cls(n, planes, zeros)
+        return cls(n, planes)
 
 
 def shard_bytes(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
@@ -182,7 +227,8 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, shard_text_bytes:
     another file after ``shard_tokens``. Each file is the ``data`` of one row;
     Spark's committer writes it, so a lost executor leaves no half file.
     Null texts count as empty, null doc_ids come first, equal doc_ids are in
-    order of a hash of their texts, repeated rows stay repeated.
+    order of a hash of their texts, repeated rows stay repeated, an empty table
+    has no files, other columns are not read.
     """
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -219,7 +265,11 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, shard_text_bytes:
 
 
 def read_back(files: DataFrame) -> DataFrame:
-    """Per document, from the files alone: its ids' start, number and crc32."""
+    """Per document, from the files alone: its ids' start, number and crc32, and how often its first id occurs in it.
+
+    Starts are summed per group of parts first, so no task sees all shards. An
+    empty table of files gives an empty result.
+    """
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,16 +281,18 @@ def read_back(files: DataFrame) -> DataFrame:
                 raw = memoryview(ids).cast("B")
                 crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 n = len(docs)
-                yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.array([seq] * n, pa.int32()), pa.array(docs, pa.int64()), pa.array(starts), pa.array(lengths.astype(np.int64)), pa.array(crc, pa.int64())], ["part", "seq", "doc_id", "inside", "n_tokens", "ids_crc32"])
+                again = np.where(lengths > 0, matrix.first_counts(np.minimum(starts, max(0, matrix.n - 1)), ends) if matrix.n else 0, 0)
+                yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.array([seq] * n, pa.int32()), pa.array(docs, pa.int64()), pa.array(starts), pa.array(lengths.astype(np.int64)), pa.array(crc, pa.int64()), pa.array(again.astype(np.int64))], ["part", "seq", "doc_id", "inside", "n_tokens", "ids_crc32", "first_id_count"])
 
     small_batches(files.sparkSession)
-    docs = files.select("part", "seq", "data").mapInArrow(decode, "part int, seq int, doc_id long, inside long, n_tokens long, ids_crc32 long")
-    before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = files.select("part", "seq", before.alias("before"))  # one small row a shard
-    return docs.join(starts, ["part", "seq"]).select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
+    docs = files.select("part", "seq", "data").mapInArrow(decode, "part int, seq int, doc_id long, inside long, n_tokens long, ids_crc32 long, first_id_count long")
+    sizes = files.select("part", "seq", F.floor(F.col("part") / 1024).alias("group"), "n_tokens")
+    upto = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = sizes.groupBy("group").agg(F.sum("n_tokens").alias("n_tokens")).select("group", upto(Window.orderBy("group")).alias("_before"))  # a row per thousand parts
+    starts = sizes.withColumn("_own", upto(Window.partitionBy("group").orderBy("part", "seq"))).join(groups, "group").select("part", "seq", (F.col("_before") + F.col("_own")).alias("before"))
+    return docs.join(starts, ["part", "seq"]).select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", "first_id_count")
 
 
 def op2_wavelet_tokens(spark, sf_dir: str) -> DataFrame:
-    from millrace.llm.shared import documents
-
+    """All documents' ids with their end id, through the shard files. Nulls, ties and repeated rows as in ``write_shards``."""
     return read_back(write_shards(documents(spark, sf_dir), default_path(), 2))

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm import bpe, packing, wavelet
@@ -66,11 +67,27 @@ def test_wavelet_matrix_answers_like_a_list():
         wavelet.WaveletMatrix.build(np.array([1, 2])).select(1, 1)
 
 
+def test_wavelet_queries_open_only_their_chunks():
+    ids = np.random.default_rng(6).integers(0, 50_000, 400_000)
+    data = wavelet.WaveletMatrix.build(ids).to_bytes()
+    matrix = wavelet.WaveletMatrix.from_bytes(data)
+    assert all(not p.open for p in matrix.planes)
+    assert matrix.access(123_456) == ids[123_456]
+    assert all(len(p.open) <= 2 for p in matrix.planes)
+    value, at = int(ids[7]), np.flatnonzero(ids == ids[7])
+    matrix = wavelet.WaveletMatrix.from_bytes(data)
+    assert matrix.count(value) == len(at) and matrix.select(value, len(at) - 1) == at[-1] and matrix.rank(value, 200_000) == (at < 200_000).sum()
+    assert all(len(p.open) <= 6 < len(p.ends) for p in matrix.planes)
+    starts = np.sort(np.random.default_rng(7).integers(0, len(ids) - 600, 50))
+    assert matrix.first_counts(starts, starts + 500).tolist() == [int((ids[a : a + 500] == ids[a]).sum()) for a in starts]
+    assert len(data) < 4 * len(ids)
+
+
 def brute_tokens(library, rows):
     out, start = [], 0
     for doc, text in rows:
         ids = [*ids_of(library, text), 2]
-        out.append((doc, start, len(ids), zlib.crc32(raw(ids))))
+        out.append((doc, start, len(ids), zlib.crc32(raw(ids)), ids.count(ids[0])))
         start += len(ids)
     return out
 
@@ -85,7 +102,7 @@ def test_op2_several_files_nulls_and_repeats(spark, library, odd, odd_rows, empt
     assert files.count() > 3
     got = wavelet.read_back(files).collect()
     assert len(got) == len(odd_rows)
-    assert sorted((r.n_tokens, r.ids_crc32) for r in got) == sorted(x[2:] for x in brute_tokens(library, odd_rows))
+    assert sorted((r.n_tokens, r.ids_crc32, r.first_id_count) for r in got) == sorted(x[2:] for x in brute_tokens(library, odd_rows))
     got.sort(key=lambda r: r.start)
     assert [r.doc_id for r in got] == [None, None, 1, 2, 3, 4, 5, 5, 6, 7, 8]
     assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
@@ -120,6 +137,15 @@ def test_op8_pieces(spark, library, texts, odd, odd_rows, empty):
     assert packing.pack(empty, default_path()).count() == 0
 
 
+def test_op8_groups_stay_small(spark):
+    long = " ".join(f"w{i}" for i in range(3000))
+    rows = spark.createDataFrame([(1, "the same row")] * 6000 + [(2, long)] * 20 + [(i, f"text {i}") for i in range(3, 3000)], "doc_id long, text string").repartition(6)
+    pieces = packing.pack(rows, default_path(), capacity=64, group_pieces=500)
+    groups = pieces.groupBy(F.shiftright("sequence_id", 32)).count().agg(F.max("count"), F.count("*")).first()
+    assert pieces.count() > 9000 and groups[0] < 900 and groups[1] > 15
+    assert pieces.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 64").count() == 0
+
+
 def test_first_fit_decreasing_is_first_fit():
     rng = random.Random(2)
     for _ in range(50):
