@@ -1,4 +1,4 @@
-"""Connected components of an edge table, and small tables of a fixed size gathered from any number of rows."""
+"""Small tables of a fixed size gathered from any number of rows."""
 
 from __future__ import annotations
 
@@ -7,30 +7,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import materialize
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label) of every node of ``edges`` (a, b: long); label is the smallest node reachable.
-
-    Each round takes the smallest label around every node, then follows labels
-    once more (pointer jumping), so chains shrink by half. The table of each
-    round is written to the shared folder; nothing but a count comes to the
-    driver.
-    """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
-    both = materialize(both, "edges")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = step.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        after = materialize(step.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("far", "label")).alias("label")), "labels")
-        changed = after.where("old <> label").limit(1).count()
-        labels = after.select("node", "label")
-        if not changed:
-            return labels
-
 
 def fixed_table(rows: DataFrame, size: int, chunks: int = 64) -> np.ndarray:
     """Sums of ``value`` by ``bucket`` (0 to size - 1) as one array of unsigned 32-bit numbers, capped at their range.

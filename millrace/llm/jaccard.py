@@ -32,8 +32,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.codes import shingle_set
-from millrace.llm.graph import components, fixed_table
-from millrace.llm.shared import REMEMBERED, by_first, documents, materialize, plain_columns, small_batches
+from millrace.llm.graph import fixed_table
+from millrace.llm.shared import REMEMBERED, Scratch, by_first, documents, plain_columns, small_batches
+from millrace.operators.graph import components
 
 #: Buckets of the frequency table (4 MB) and of the table of wanted texts.
 BUCKETS = 1 << 20
@@ -332,7 +333,7 @@ def _links(apart: Column, percent: int) -> Column:
     return apart * (100 + percent) <= F.lit(100 - percent) * (F.col("na") + F.col("nb"))
 
 
-def _resolved(pairs: DataFrame, kin: DataFrame, compare, percent: int) -> DataFrame:
+def _resolved(pairs: DataFrame, kin: DataFrame, compare, percent: int, table: Scratch) -> DataFrame:
     """Those of ``pairs`` (a, b, na, nb) that link, derived from the answers of similar sets.
 
     ``kin``: (id, pivot, far), a set's nearest pivot and the number of tokens in
@@ -344,20 +345,20 @@ def _resolved(pairs: DataFrame, kin: DataFrame, compare, percent: int) -> DataFr
     for end in ("a", "b"):
         named = named.join(kin.select(F.col("id").alias(end), F.col("pivot").alias(f"p{end}"), F.col("far").alias(f"f{end}")), end, "left")
         ends.append(F.coalesce(f"p{end}", end))
-    named = materialize(named.select("a", "b", "na", "nb", F.least(*ends).alias("p"), F.greatest(*ends).alias("q"), (F.coalesce("fa", F.lit(0)) + F.coalesce("fb", F.lit(0))).alias("far")), "named")
+    named = table(named.select("a", "b", "na", "nb", F.least(*ends).alias("p"), F.greatest(*ends).alias("q"), (F.coalesce("fa", F.lit(0)) + F.coalesce("fb", F.lit(0))).alias("far")), "named")
     answers = compare(named.select(F.col("p").alias("a"), F.col("q").alias("b")).distinct()).select(F.col("a").alias("p"), F.col("b").alias("q"), "apart")
-    bounded = materialize(named.join(answers, ["p", "q"]).select("a", "b", "na", "nb", _links(F.col("apart") + F.col("far"), percent).alias("sure"), _links(F.col("apart") - F.col("far"), percent).alias("may")), "bounded")
+    bounded = table(named.join(answers, ["p", "q"]).select("a", "b", "na", "nb", _links(F.col("apart") + F.col("far"), percent).alias("sure"), _links(F.col("apart") - F.col("far"), percent).alias("may")), "bounded")
     read = compare(bounded.where("may AND NOT sure").select("a", "b"))
     return bounded.where("sure").select("a", "b").union(read.where(_links(F.col("apart"), percent)).select("a", "b"))
 
 
 def _owners(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Per row of ``docs``: doc_id, hash of the text, size n and id of its set (null: no words). Per id: ``first``, the least (doc_id is null, doc_id, hash) of its class."""
-    spark = docs.sparkSession
+    spark, keep = docs.sparkSession, Scratch()
     small_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.col("text").cast("string").alias("text"))
-    first = materialize(_sets(docs, width), "sets")
+    first = keep(_sets(docs, width), "sets")
     rows = first.where("kind = 0").select("doc_id", "hash", "n", "id", *SKETCH)
     often = fixed_table(first.where("kind = 1").select(F.col("doc_id").alias("bucket"), F.col("n").alias("value")), BUCKETS)
     table = spark.sparkContext.broadcast(often)
@@ -365,10 +366,10 @@ def _owners(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     long = _index(docs, width, percent, table).groupBy("token").agg(F.count("*").alias("value")).where(F.col("value") > LONG)
     more = fixed_table(long.select(F.pmod("token", F.lit(BUCKETS)).alias("bucket"), "value"), BUCKETS)
     table = spark.sparkContext.broadcast(often + np.minimum(more, 2**32 - 1 - often))
-    lists = materialize(_lists(_index(docs, width, percent, table), parts), "lists")
+    lists = keep(_lists(_index(docs, width, percent, table), parts), "lists")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", *SKETCH))
     holders = rows.where("id IS NOT NULL").groupBy("id").agg(least.alias("r")).select("id", F.col("r.doc_id").alias("rep"), *(f"r.{c}" for c in ("hash", *SKETCH)))
-    holders = materialize(holders, "holders")
+    holders = keep(holders, "holders")
 
     def texts(pairs: DataFrame) -> DataFrame:
         """id and text of the sets in ``pairs``; texts that no pair wants are mostly sifted out before the join, by a table of fixed size."""
@@ -387,8 +388,8 @@ def _owners(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
         return near.select("id", "text").dropDuplicates(["id"])
 
     def compare(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs, "pairs")
-        return materialize(_compared(pairs, texts(pairs), width), "compared")
+        pairs = keep(pairs, "pairs")
+        return keep(_compared(pairs, texts(pairs), width), "compared")
 
     def divided(label: DataFrame | None) -> DataFrame:
         """The lists that still hold several labels, with their sizes and the sets' sketches."""
@@ -398,7 +399,8 @@ def _owners(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
         else:
             named = named.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
         sizes = named.groupBy("list").agg(F.count("*").alias("_size"), F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select("list", "_size")
-        return materialize(named.join(sizes, "list"), "divided")
+        # the sizes are written first: so a list of very many sets is split over tasks
+        return keep(named.join(keep(sizes, "sizes"), "list"), "divided")
 
     linked = seen = None
     left = divided(None)
@@ -415,7 +417,7 @@ def _owners(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
         if 10 * n_found < n_tried or not n_found:
             break
     kin = linked.groupBy(F.col("b").alias("id")).agg(F.min(F.struct("apart", "a")).alias("_near")).select("id", F.col("_near.a").alias("pivot"), F.col("_near.apart").alias("far"))
-    more = materialize(_resolved(_across(left, percent), kin, compare, percent), "links")
+    more = keep(_resolved(_across(left, percent), kin, compare, percent, keep), "links")
     label = components(linked.select("a", "b").union(more)).withColumnRenamed("node", "id")
     own = holders.select("id", F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("doc_id"), "hash").alias("own"))
     # a large class in shares: its least row meets them all
@@ -424,7 +426,9 @@ def _owners(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     heads = classes.groupBy("label").agg(F.min("own").alias("first")).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
     named = classes.withColumn("share", F.pmod("id", F.lit(shares)).cast("int")).join(heads, ["label", "share"]).select("id", "first")
     owners = own.join(named, "id", "left").select("id", F.coalesce("first", "own").alias("first"))
-    return rows.select("doc_id", "hash", "n", "id"), materialize(owners, "owners")
+    owners = keep(owners, "owners")
+    keep.clear(first, owners)
+    return rows.select("doc_id", "hash", "n", "id"), owners
 
 
 def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

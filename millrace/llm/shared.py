@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -12,28 +10,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.operators.tables import Scratch
+from millrace.operators.tables import written as materialize
 
-#: Equal texts or sets that a task remembers; those beyond are handed on once more and merged by the shuffle.
-REMEMBERED = 1_000_000
-
+__all__ = ["REMEMBERED", "Scratch", "by_first", "documents", "materialize", "per_process", "plain_columns", "small_batches"]
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir). Where that is unset, a folder of our own on one machine, as in tests; on a cluster an error."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors and the driver share")
-        found = tempfile.mkdtemp(prefix="millrace-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
 
-
-def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """Write to the shared folder and read back: lineage ends there, and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Equal texts or sets that a task remembers; those beyond are handed on once more and merged by the shuffle.
+REMEMBERED = 1_000_000
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.codes import gram_codes, word_codes
 from millrace.llm.graph import fixed_table
-from millrace.llm.shared import REMEMBERED, by_first, documents, materialize, small_batches
+from millrace.llm.shared import REMEMBERED, Scratch, by_first, documents, small_batches
 
 #: Words of a retained window.
 KEY = 16
@@ -212,15 +212,17 @@ def repeats(docs: DataFrame, least: int = 50) -> DataFrame:
     passage of ``least`` words that both share.
     """
     small_batches(docs.sparkSession)
+    keep = Scratch()
     docs = _keyed(docs)
-    suffixes = materialize(_suffixes(docs, least).groupBy("key", "hash", "pos").agg(F.lit(1).alias("_one")).drop("_one"), "suffixes")
+    suffixes = keep(_suffixes(docs, least).groupBy("key", "hash", "pos").agg(F.lit(1).alias("_one")).drop("_one"), "suffixes")
     keys = suffixes.groupBy("key").agg(F.min("hash").alias("_lo"), F.max("hash").alias("_hi"), F.count("*").alias("_n")).where("_lo <> _hi")
-    # joined back, so that a key of very many suffixes is split over tasks
-    shared = suffixes.join(keys.select("key", (F.col("_n") > FEW).alias("many")), "key")
+    # written, then joined back: so a key of very many suffixes is split over tasks
+    keys = keep(keys.select("key", (F.col("_n") > FEW).alias("many")), "keys")
+    shared = suffixes.join(keys, "key")
     places = lambda many: F.collect_list(F.when(F.col("many") == many, F.col("pos")))
-    wanted = materialize(shared.groupBy("hash").agg(places(False).alias("few"), places(True).alias("many")), "places")
+    wanted = keep(shared.groupBy("hash").agg(places(False).alias("few"), places(True).alias("many")), "places")
     holders = docs.groupBy("hash").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("r")).select("hash", F.col("r.doc_id").alias("rep"))
-    holders = materialize(wanted.join(holders, "hash"), "holders")
+    holders = keep(wanted.join(holders, "hash"), "holders")
     sieve = docs.sparkSession.sparkContext.broadcast(fixed_table(wanted.select(F.pmod("hash", F.lit(SIEVE)).alias("bucket"), F.lit(1).alias("value")), SIEVE) > 0)
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,18 +233,20 @@ def repeats(docs: DataFrame, least: int = 50) -> DataFrame:
 
     near = docs.mapInArrow(sift, "doc_id long, hash long, text string")
     texts = near.join(holders, "hash").where("doc_id <=> rep").dropDuplicates(["hash"])
-    texts = materialize(texts.select("hash", "few", "many", "text", "rep"), "texts")
+    texts = keep(texts.select("hash", "few", "many", "text", "rep"), "texts")
     rows = _contexts(texts.where("size(few) > 0").select("hash", "few", "text", "rep"), least - KEY)
     found = _matches(rows.repartition("key").sortWithinPartitions("key", "after", "hash", "pos"), least)
-    windows = materialize(_windows(texts.where("size(many) > 0").select("hash", "many", "text", "rep"), least), "windows")
+    windows = keep(_windows(texts.where("size(many) > 0").select("hash", "many", "text", "rep"), least), "windows")
     codes = windows.groupBy("code").agg(F.min("hash").alias("_lo"), F.max("hash").alias("_hi"), F.min("rep").alias("_least")).where("_lo <> _hi")
-    hit = windows.join(codes.select("code", "_least"), "code")
+    hit = windows.join(keep(codes.select("code", "_least"), "codes"), "code")
     cut = F.coalesce(F.col("_least") < F.col("rep"), F.col("rep").isNull() & F.col("_least").isNotNull())
     hit = hit.select("hash", "start", (F.col("start") + least).alias("stop"), F.explode(F.when(cut, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("cut"))
-    found = materialize(found.union(hit), "matches")
+    found = keep(found.union(hit), "matches")
     span = F.struct("start", "stop")
     found = found.groupBy("hash").agg(F.array_sort(F.collect_set(span)).alias("spans"), F.array_sort(F.collect_set(F.when(F.col("cut"), span))).alias("cuts"))
-    return found.select("hash", F.expr(_merged("spans")).alias("spans"), F.expr(_merged("cuts")).alias("cuts"))
+    found = keep(found.select("hash", F.expr(_merged("spans")).alias("spans"), F.expr(_merged("cuts")).alias("cuts")), "repeats")
+    keep.clear(found)
+    return found
 
 
 def document_repeats(docs: DataFrame, least: int = 50) -> DataFrame:
@@ -254,7 +258,7 @@ def document_repeats(docs: DataFrame, least: int = 50) -> DataFrame:
     are one document and stay repeated in the result. An empty table gives an
     empty result; other columns are not read.
     """
-    found = materialize(repeats(docs, least), "repeats")
+    found = repeats(docs, least)
     n_words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     rows = _keyed(docs).select("doc_id", "hash", n_words.alias("n_words")).where(F.col("n_words") >= least)
     copies = rows.groupBy("hash").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_most"), F.max(F.col("doc_id").isNull()).alias("_null"))
