@@ -1,4 +1,9 @@
-"""The corpus pipeline: quality rules, near-duplicates, repeated passages, packing. Part of the training-data subpackage."""
+"""The corpus pipeline: quality rules, near-duplicates, repeated passages, packing. Part of the training-data subpackage.
+
+Every stage takes an empty table, null ids and texts, repeated rows, and columns
+of any names beside doc_id and text; all but the last return the columns they
+were given.
+"""
 
 from __future__ import annotations
 
@@ -10,22 +15,22 @@ from millrace.llm.wordids import default_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a rule rejects go."""
+    """Documents that a rule rejects go. Null and blank texts have no words and are rejected; repeated rows go or stay together."""
     return quality.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of 5-word shingle sets with a similarity of 0.8 stays."""
+    """One document of each class of 5-word shingle sets with a similarity of 0.8 stays: the least doc_id, null ids last, ties by a hash of the text. Documents without words stay; of repeated rows one stays."""
     return jaccard.one_of_each(docs).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words and more stay with their first holder only."""
+    """Passages of 50 words and more stay with their first holder only, the least doc_id, null ids last; documents that lose all their words go. n_chars, if there, follows the text."""
     return suffixes.without_repeats(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 4096 tokens."""
+    """Pieces of sequences of 4096 tokens. Null texts are one piece with the end id; null ids stay null; repeated rows are packed each."""
     return packing.pack(docs, default_path())
 
 
