@@ -48,3 +48,21 @@ def test_one_of_each_with_nulls_and_repeated_rows(spark, odd, odd_rows, empty):
     base = [f"w{rng.randint(0, 10**6)}" for _ in range(100)]
     rows = [(10, " ".join(base)), (3, " ".join(base[:99] + ["x"])), (None, " ".join(["y"] + base[1:])), (4, "other words entirely")]
     assert sorted(r.doc_id for r in jaccard.one_of_each(make(spark, rows)).collect()) == [3, 4]
+
+
+def test_stages_on_odd_and_empty_tables(spark, odd_rows, empty):
+    text = " ".join(f"word{i}" for i in range(120))
+    rows = [*odd_rows, (20, text), (21, text + " more"), (None, text), (20, text), (22, " ".join(f"own{i}" for i in range(70)) + " " + text[:600])]
+    for docs, some in ((make(spark, rows), True), (empty, False)):
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES:
+            docs = materialize(stage(spark, docs, SF), name)
+            assert docs.columns == columns or name == corpus_pipeline.STAGES[-1][0]
+            assert (docs.count() > 0) == some
+            if name == "near_duplicates" and some:
+                kept = sorted(r.doc_id for r in docs.collect())
+                assert 20 in kept and 21 not in kept and None not in kept and kept.count(20) == 1
+            if name == "repeated_passages" and some:
+                assert {r.doc_id: r.text.split()[0] for r in docs.collect()}[22] == "own0" and all(r.lang == "x" for r in docs.collect())
+        if some:
+            assert {r.doc_id for r in docs.collect()} >= {20, 22}
