@@ -161,7 +161,7 @@ def grounded_items(spark, d):
     return grounding.ground(items, pages, "item_id", "text", "cited").select("item_id", "status")
 
 
-@query("WITH n AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1), w AS (SELECT conv_id, n, ceil(n / 3)::INT AS k, unnest(range(1, ceil(n / 3)::INT + 1)) AS window FROM n) SELECT conv_id, window::INT AS window, (n // k + (window <= n % k)::INT)::INT AS pages FROM w")
+@query("WITH n AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1), w AS (SELECT conv_id, n, ceil(n / 3)::INT AS k, unnest(range(1, ceil(n / 3)::INT + 1)) AS i FROM n) SELECT conv_id, i::INT AS \"window\", (n // k + (i <= n % k)::INT)::INT AS pages FROM w")
 def section_windows(spark, d):
     """A conversation's turns as pages, in windows of three at most."""
     turns = table(spark, d, "conversations").groupBy("conv_id").agg(F.count("*").cast("int").alias("n"))

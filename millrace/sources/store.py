@@ -87,14 +87,15 @@ def longest_prefix(rows: DataFrame, key: str, prefixes: DataFrame, prefix: str,
     """``rows`` with the columns of the longest prefix that their key begins with. Prefixes number ``bound`` at most, which is checked; they are looked up by length, not one by one."""
     if prefixes.count() > bound:
         raise ValueError(f"more than {bound} prefixes")
-    lengths = sorted(r[0] for r in prefixes.select(F.length(prefix)).distinct().collect() if r[0])
-    if not lengths:
-        return rows.join(prefixes.where("false"), F.lit(False), "left")
-    own = rows.withColumns({"_mr_id": F.monotonically_increasing_id(), "_mr_k": F.explode(F.array(*(F.when(F.length(key) >= n, F.left(F.col(key), F.lit(n))) for n in lengths)))})
-    found = own.join(F.broadcast(prefixes.withColumnRenamed(prefix, "_mr_p")), F.col("_mr_k") == F.col("_mr_p"), "left")
-    names = [c for c in prefixes.columns if c != prefix]
-    best = found.groupBy("_mr_id", *rows.columns).agg(F.max_by(F.struct(F.col("_mr_p").alias(prefix), *names), F.length("_mr_p")).alias("_mr_best"))
-    return best.select(*rows.columns, "_mr_best.*")
+    lengths = sorted((r[0] for r in prefixes.select(F.length(prefix)).distinct().collect() if r[0]), reverse=True)
+    names = [prefix, *(c for c in prefixes.columns if c != prefix)]
+    out, once = rows, prefixes.dropDuplicates([prefix])
+    for n in lengths:
+        part = once.where(F.length(prefix) == n).select(F.col(prefix).alias(f"_mr_p{n}"), F.struct(*names).alias(f"_mr_s{n}"))
+        out = out.join(F.broadcast(part), (F.length(key) >= n) & (F.left(F.col(key), F.lit(n)) == F.col(f"_mr_p{n}")), "left").drop(f"_mr_p{n}")
+    kinds = prefixes.select(F.struct(*names).alias("s")).schema["s"].dataType
+    best = F.coalesce(*(F.col(f"_mr_s{n}") for n in lengths), F.lit(None).cast(kinds))
+    return out.withColumn("_mr_best", best).select(*rows.columns, "_mr_best.*")
 
 
 def write_jsonl(rows: DataFrame, path: str, order: list[str], header: dict[str, str] | None = None, compression: str | None = None) -> None:
