@@ -260,3 +260,66 @@ def envelope_rows(df: DataFrame, keys: list[str], document: str) -> DataFrame:
     """``keys``, path, raw, parsed, pages (as JSON) of every envelope."""
     text = lambda v: None if v is None else v if isinstance(v, str) else json.dumps(v, ensure_ascii=False)
     return rows_of(df, keys, [document], "path string, raw string, parsed string, pages string", lambda d: ((p, text(e["raw"]), text(e["parsed"]), json.dumps(page_numbers(e.get("page_ref")))) for p, e in envelopes(d)))
+
+
+KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
+
+
+def _is_kind(value: Any, kind: str) -> bool:
+    if kind in ("number", "integer"):
+        return isinstance(value, int | float) and not isinstance(value, bool) and (kind == "number" or float(value).is_integer())
+    return isinstance(value, KINDS[kind])
+
+
+def schema_errors(node: Any, schema: Any, root: dict | None = None, path: str = "") -> list[tuple[str, str]]:
+    """(path, keyword) of every part that breaks the schema.
+
+    Of JSON Schema: type, enum, const, required, properties, additionalProperties,
+    items, minItems, maxItems, minLength, maxLength, pattern, minimum, maximum,
+    anyOf, oneOf, allOf and references to $defs.
+    """
+    root = root if root is not None else schema
+    if schema is True or schema == {}:
+        return []
+    if schema is False:
+        return [(path, "false")]
+    if "$ref" in schema:
+        return schema_errors(node, (root.get("$defs") or {}).get(schema["$ref"].rsplit("/", 1)[-1], {}), root, path)
+    out: list[tuple[str, str]] = []
+    told = lambda bad, word: out.append((path, word)) if bad else None
+    kinds = schema.get("type", [])
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    told(kinds and not any(_is_kind(node, k) for k in kinds), "type")
+    told("enum" in schema and not any(node == e and type(node) is type(e) for e in schema["enum"]), "enum")
+    told("const" in schema and node != schema["const"], "const")
+    if _is_kind(node, "number"):
+        told(node < schema.get("minimum", node), "minimum")
+        told(node > schema.get("maximum", node), "maximum")
+    if isinstance(node, str | list):
+        low, high = ("minLength", "maxLength") if isinstance(node, str) else ("minItems", "maxItems")
+        told(len(node) < schema.get(low, 0), low)
+        told(len(node) > schema.get(high, len(node)), high)
+    told(isinstance(node, str) and "pattern" in schema and not re.search(schema["pattern"], node), "pattern")
+    if isinstance(node, dict):
+        known, more = schema.get("properties") or {}, schema.get("additionalProperties", True)
+        out += [(joined(path, k), "required") for k in schema.get("required", ()) if k not in node]
+        for key, value in node.items():
+            if key in known:
+                out += schema_errors(value, known[key], root, joined(path, key))
+            elif more is False:
+                out.append((joined(path, key), "additionalProperties"))
+            elif isinstance(more, dict):
+                out += schema_errors(value, more, root, joined(path, key))
+    if isinstance(node, list) and "items" in schema:
+        out += [e for i, v in enumerate(node) for e in schema_errors(v, schema["items"], root, f"{path}[{i}]")]
+    for part in schema.get("allOf", ()):
+        out += schema_errors(node, part, root, path)
+    fits = lambda word: sum(not schema_errors(node, part, root, path) for part in schema[word])
+    told("anyOf" in schema and not fits("anyOf"), "anyOf")
+    told("oneOf" in schema and fits("oneOf") != 1, "oneOf")
+    return out
+
+
+def schema_failures(df: DataFrame, keys: list[str], document: str, schema: dict) -> DataFrame:
+    """``keys``, path, keyword of what breaks the schema; documents without a row are valid."""
+    return rows_of(df, keys, [document], "path string, keyword string", lambda d: iter(schema_errors(d, schema)))
