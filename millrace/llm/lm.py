@@ -305,7 +305,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, batch:
                 if seen:
                     yield result()
 
-        rows = keyed.where(F.col("turn") == turn).repartition(shards, "shard").sortWithinPartitions("shard", "hash", "doc_id").select("shard", "text")
+        rows = keyed.where(F.col("turn") == turn).repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "hash", "doc_id").select("shard", "text")
         summed = _added(rows.mapInArrow(run, "shard long, seen long, net binary, spelling binary"), shards)
         if summed:
             net.load(summed[0] / summed[2])
