@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from millrace.llm import media
-from millrace.llm.shared import shared_dir
+from millrace.operators.tables import shared_dir
 from tests.llm.conftest import SF, make
 
 
