@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import documents
+from millrace.llm.shared import documents, least_hashes
 
 UNKNOWN = "unknown"
 
@@ -225,8 +225,8 @@ def sample_paragraphs(docs: DataFrame, rows: int = 400, lines: int = 20, chars:
     characters, cut before they leave their task: what reaches the driver is
     rows * lines * chars characters at most (16 MB).
     """
-    text = F.col("text").cast("string")
-    found = docs.select(F.xxhash64("doc_id", text).alias("_mr_order"), F.left(text, F.lit(lines * chars)).alias("_mr_text")).orderBy("_mr_order", "_mr_text").limit(rows)
+    near = least_hashes(docs.select("doc_id", F.col("text").cast("string").alias("text")), rows)
+    found = near.select("_mr_order", F.left("text", F.lit(lines * chars)).alias("_mr_text")).orderBy("_mr_order", "_mr_text").limit(rows)
     return [p[:chars] for r in found.collect() for p in (r["_mr_text"] or "").split("\n")[:lines] if p.strip()]
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import documents, materialize
+from millrace.llm.shared import documents, least_hashes, materialize
 
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[^#*$%&|<>]+"
@@ -95,13 +95,13 @@ def order_rules(docs: DataFrame, rules: list[Rule], sample_rows: int = 1000) ->
     """Rules by rejection per cost, best first, ties as given.
 
     Each rule runs, with its measures, over a sample: the ``sample_rows`` rows of
-    ``docs`` of the least hashes of their texts, written once. Its cost is the
+    ``docs`` of the least hashes of id and text, written once. Its cost is the
     seconds it adds to a run that only reads the texts, its selectivity the share
     it rejects. Seconds vary, so the order may differ between runs. It changes how
     soon a document is rejected and by which rule, never whether.
     """
-    text = F.col("text").cast("string")
-    sample = materialize(docs.select(text.alias("text")).orderBy(F.xxhash64("text")).limit(sample_rows), "sample")
+    rows = least_hashes(docs.select("doc_id", F.col("text").cast("string").alias("text")), sample_rows)
+    sample = materialize(rows.orderBy("_mr_order").limit(sample_rows).select("text"), "sample")
 
     def run(rows: DataFrame, measure: Column) -> tuple[float, float]:
         began = time.perf_counter()

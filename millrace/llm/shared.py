@@ -9,11 +9,12 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.operators.tables import Scratch
 from millrace.operators.tables import written as materialize
 
-__all__ = ["REMEMBERED", "Scratch", "by_first", "documents", "materialize", "per_process", "plain_columns", "small_batches"]
+__all__ = ["REMEMBERED", "Scratch", "by_first", "documents", "least_hashes", "materialize", "per_process", "plain_columns", "small_batches"]
 
 
 #: Equal texts or sets that a task remembers; those beyond are handed on once more and merged by the shuffle.
@@ -55,6 +56,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def least_hashes(docs: DataFrame, rows: int) -> DataFrame:
+    """``docs`` (doc_id, text) with _mr_order, a hash of both, cut to some 3 * ``rows`` rows of the least hashes: order by it and limit.
+
+    What is cut goes where it is read, so what a sample gathers does not grow
+    with the table. It depends on the rows alone, not on their layout.
+    """
+    n = docs.count()
+    bound = min(int(min(1.0, 3 * rows / max(1, n)) * 2**64) - 2**63, 2**63 - 1)
+    return docs.withColumn("_mr_order", F.xxhash64("doc_id", F.col("text").cast("string"))).where(F.col("_mr_order") <= bound)
+
+
 def per_process(key: tuple, make: Callable[[], Any]) -> Any:
     """An object kept for the life of this Python process, across the tasks that reuse the worker."""
     kept = sys.__dict__.setdefault("_millrace_kept", {})
