@@ -458,3 +458,21 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 def op7_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     """Classes of the 4-word shingle sets of all documents at 85 %. Nulls, ties and repeated rows as in ``classes``."""
     return classes(documents(spark, sf_dir), 4, 85)
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: DuckDB: distinct sets, joined on the rarest shingles that two linking sets must share, and the links' closure.
+OP7_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) >= 4 THEN list_sort(list_distinct(list_transform(range(1, len(ws) - 2), lambda i: md5_number(ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3])))) WHEN len(ws) > 0 THEN [md5_number(len(ws) || ':' || array_to_string(ws, ' '))] ELSE [] END AS g FROM w),
+sets AS (SELECT g, len(g) AS n, min(doc_id) AS id FROM s WHERE len(g) > 0 GROUP BY g),
+tokens AS (SELECT id, n, unnest(g) AS t FROM sets), counted AS (SELECT *, count(*) OVER (PARTITION BY t) AS f FROM tokens),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY f, t) AS r FROM counted),
+idx AS (SELECT id, n, t FROM ranked WHERE r <= n - ceil(85 * n / 100.0) + 1 AND f > 1),
+pairs AS (SELECT DISTINCT a.id AS x, b.id AS y FROM idx a JOIN idx b ON a.t = b.t AND a.id < b.id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)),
+common AS (SELECT x, y, a.n AS p, b.n AS q, len(list_intersect(a.g, b.g)) AS c FROM pairs JOIN sets a ON a.id = x JOIN sets b ON b.id = y),
+links AS (SELECT x, y FROM common WHERE 100 * c >= 85 * (p + q - c)),
+edges AS (SELECT x AS a, y AS b FROM links UNION SELECT y, x FROM links),
+reach(a, b) AS (SELECT a, b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
+component AS (SELECT a AS id, least(a, min(b)) AS c FROM reach GROUP BY a)
+SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, CASE WHEN len(s.g) = 0 THEN s.doc_id ELSE coalesce(c, sets.id) END AS component_id FROM s LEFT JOIN sets USING (g) LEFT JOIN component ON component.id = sets.id"""

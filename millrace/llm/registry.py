@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from millrace.llm.bpe import op9_bpe
-from millrace.llm.jaccard import op7_ngram_jaccard
+from millrace.llm.jaccard import OP7_SQL, op7_ngram_jaccard
 from millrace.llm.licences import op1_licences
 from millrace.llm.lm import op10_pseudo_likelihood
 from millrace.llm.media import op3_media
 from millrace.llm.packing import op8_packing
 from millrace.llm.quality import OP4_SQL, op4_quality
-from millrace.llm.suffixes import op5_suffix_repeats
+from millrace.llm.suffixes import OP5_SQL, op5_suffix_repeats
 from millrace.llm.urls import OP6_SQL, op6_url_filters
 from millrace.llm.wavelet import op2_wavelet_tokens
 
@@ -30,4 +30,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality": OP4_SQL, "op6_url_filters": OP6_SQL}
+    return {"op4_quality": OP4_SQL, "op5_suffix_repeats": OP5_SQL, "op6_url_filters": OP6_SQL, "op7_ngram_jaccard": OP7_SQL}

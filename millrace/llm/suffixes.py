@@ -290,7 +290,25 @@ def without_repeats(docs: DataFrame, least: int = 50) -> DataFrame:
 
 
 def op5_suffix_repeats(spark, sf_dir: str) -> DataFrame:
-    """Documents that share a passage of 50 words or more with another: the passages as word spans, and how many words have an earlier holder. Nulls, ties and repeated rows as in ``document_repeats``."""
+    """Documents that share a passage of 50 words or more with another: how many words are repeated and how many have an earlier holder, and both as word spans start-stop. Nulls, ties and repeated rows as in ``document_repeats``."""
     found = document_repeats(documents(spark, sf_dir))
     total = lambda c: F.aggregate(c, F.lit(0), lambda a, s: a + s.stop - s.start).cast("long")
-    return found.select("doc_id", F.col("n_words").cast("long").alias("n_words"), total("spans").alias("n_repeated_words"), total("cuts").alias("n_later_words"), "spans", "cuts")
+    shown = lambda c: F.array_join(F.transform(c, lambda s: F.concat(s.start.cast("string"), F.lit("-"), s.stop.cast("string"))), ",")
+    return found.select("doc_id", F.col("n_words").cast("long").alias("n_words"), total("spans").alias("n_repeated_words"), total("cuts").alias("n_later_words"), shown("spans").alias("spans"), shown("cuts").alias("cuts"))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: DuckDB: every window of 50 words as a row; islands of those that two documents hold.
+OP5_SQL = f"""WITH w AS (SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+n AS (SELECT doc_id, ws, len(ws) AS n FROM w WHERE len(ws) >= 50),
+win AS (SELECT doc_id, n, i, md5(array_to_string(ws[i : i + 49], ' ')) AS g FROM (SELECT *, unnest(range(1, n - 48)) AS i FROM n)),
+held AS (SELECT g, min(doc_id) AS least FROM win GROUP BY g HAVING min(doc_id) <> max(doc_id)),
+hit AS (SELECT DISTINCT doc_id, n, i, least < doc_id AS later FROM win JOIN held USING (g)),
+both_kinds AS (SELECT doc_id, n, i, false AS cut FROM hit UNION ALL SELECT doc_id, n, i, true FROM hit WHERE later),
+marked AS (SELECT *, coalesce(i - lag(i) OVER (PARTITION BY doc_id, cut ORDER BY i) > 50, true)::INT AS fresh FROM both_kinds),
+islands AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, cut ORDER BY i ROWS UNBOUNDED PRECEDING) AS island FROM marked),
+spans AS (SELECT doc_id, n, cut, min(i) - 1 AS a, max(i) + 49 AS b FROM islands GROUP BY doc_id, n, cut, island)
+SELECT doc_id, n::BIGINT AS n_words, sum(b - a) FILTER (WHERE NOT cut)::BIGINT AS n_repeated_words, coalesce(sum(b - a) FILTER (WHERE cut), 0)::BIGINT AS n_later_words,
+       string_agg(a || '-' || b, ',' ORDER BY a) FILTER (WHERE NOT cut) AS spans, coalesce(string_agg(a || '-' || b, ',' ORDER BY a) FILTER (WHERE cut), '') AS cuts
+FROM spans GROUP BY doc_id, n"""
