@@ -19,6 +19,8 @@ def components(edges: DataFrame) -> DataFrame:
     table = Scratch()
     pairs = edges.select("a", "b").where("a <> b")
     both = table(pairs.union(pairs.select("b", "a")).distinct(), "edges")
+    if both.isEmpty():
+        return both.select(F.col("a").alias("node"), F.col("b").alias("label"))
     labels = table(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
     while True:
         before = labels.select("node", "label")
