@@ -389,6 +389,8 @@ def _owners(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
 
     def compare(pairs: DataFrame) -> DataFrame:
         pairs = keep(pairs, "pairs")
+        if pairs.isEmpty():  # no text need be read
+            return spark.createDataFrame([], "a long, b long, na long, nb long, apart long")
         return keep(_compared(pairs, texts(pairs), width), "compared")
 
     def divided(label: DataFrame | None) -> DataFrame:
