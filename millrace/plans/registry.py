@@ -318,7 +318,7 @@ def value_shapes(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from millrace.plans import corpus, evaluation, reports, values  # noqa: F401  they add their queries
+    from millrace.plans import corpus, evaluation, layout, reports, values  # noqa: F401  they add their queries
 
     return dict(QUERIES)
 
