@@ -34,7 +34,7 @@ def test_stages_equal_plain_versions(spark):
         else:
             assert set(words_of(cut.get(d, ""))) <= set(words_of(t))
     assert not brute_repeats(list(cut.items()), 50)
-    pieces = corpus_pipeline.run(spark, SF).collect()
+    pieces = steps["packing"](spark, third, SF).collect()
     assert {p.doc_id for p in pieces} == set(cut)
 
 
@@ -50,6 +50,13 @@ def test_one_of_each_with_nulls_and_repeated_rows(spark, odd, odd_rows, empty):
     assert sorted(r.doc_id for r in jaccard.one_of_each(make(spark, rows)).collect()) == [3, 4]
 
 
+def test_run_applies_the_stages(spark, tmp_path):
+    text = " ".join(f"word{i}" for i in range(120))
+    make(spark, [(1, text), (2, text), (3, "short"), (4, " ".join(f"own{i}" for i in range(70)))]).write.parquet(str(tmp_path / "documents.parquet"))
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(p.doc_id for p in pieces) == [1, 4] and len({p.sequence_id for p in pieces}) == 1
+
+
 def test_stages_on_odd_and_empty_tables(spark, odd_rows, empty):
     text = " ".join(f"word{i}" for i in range(120))
     rows = [*odd_rows, (20, text), (21, text + " more"), (None, text), (20, text), (22, " ".join(f"own{i}" for i in range(70)) + " " + text[:600])]
