@@ -14,7 +14,9 @@
    skipped whole where their sizes, positions or labels rule out every link
    between them (a pair of equal label is connected already). Pairs whose
    positions, sketches or shared index entries rule out the overlap are dropped,
-   which is exact. A list of many sets is dealt out by pairs of its shares.
+   which is exact. A list of many sets is dealt out by pairs of its shares. The
+   sets that come this far have sketches of 2048 bits, so that near copies just
+   below the similarity are dropped where they meet.
 5. Answers of the pairs left are derived from those of their pivots. The number
    of tokens in which two sets differ is a metric, so the pivots' answer and both
    relations bound it: most pairs link or don't without being read. Only the
@@ -48,6 +50,8 @@ LONG, ROUNDS = 16, 4
 PIVOTS = 16
 #: Columns of a set's sketch.
 SKETCH = ("s0", "s1", "s2", "s3")
+#: Bits of a set's fine sketch in the last pass, and pairs that are looked at by it at once.
+FINE, AT_ONCE = 2048, 16_384
 
 
 def _set_id(tokens: np.ndarray) -> int:
@@ -60,6 +64,18 @@ def _sketch(tokens: np.ndarray) -> tuple[int, ...]:
     return tuple(np.packbits(parity).view(np.int64).tolist())
 
 
+def _fine(tokens: np.ndarray) -> bytes:
+    """Like ``_sketch``, FINE bits by other bits of the tokens."""
+    parity = np.bincount((tokens >> np.uint64(32) & np.uint64(FINE - 1)).astype(np.int64), minlength=FINE).astype(np.uint8) & 1
+    return np.packbits(parity).tobytes()
+
+
+def _with_fine(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """Plain columns, of the last one (fine sketches) a row of 64-bit words each."""
+    *plain, fine = batch.columns
+    return [c.to_numpy(zero_copy_only=False) for c in plain] + [np.frombuffer(b"".join(fine.to_pylist()), np.int64).reshape(len(fine), FINE // 64)]
+
+
 def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """In how many bits rows of sketches differ."""
     return np.bitwise_count((x ^ y).view(np.uint64)).sum(axis=-1, dtype=np.int64)
@@ -195,10 +211,10 @@ def _stars(lists: DataFrame, percent: int, turn: int, pivots: int, tried: DataFr
 class _Entries:
     """Sorted rows of whole lists, and the pairs of them that may link."""
 
-    def __init__(self, cols: list[np.ndarray], percent: int):
+    def __init__(self, cols: list[np.ndarray], percent: int, fine: np.ndarray | None = None):
         self.unit, self.own, n, pos, self.label, self.many, self.side, *bits = cols
         self.n, self.pos, self.percent = n.astype(np.int64), pos.astype(np.int64), percent
-        self.sketch = np.stack(bits, axis=1)
+        self.sketch, self.fine = np.stack(bits, axis=1), fine
 
     def may(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Of index pairs, which differ in label, lie on two sides and may share enough tokens by size and position."""
@@ -247,10 +263,15 @@ class _Entries:
     def found(self) -> Iterator[tuple[np.ndarray, ...]]:
         """(a, b, na, nb, many) of the pairs that their sketches allow, the smaller id first."""
         for i, j in self.pairs():
-            na, nb = self.n[i], self.n[j]
-            near = na + nb - 2 * _least_shared(na, nb, self.percent) >= _apart(self.sketch[i], self.sketch[j])
-            i, j = i[near], j[near]
+            most = self.n[i] + self.n[j] - 2 * _least_shared(self.n[i], self.n[j], self.percent)
+            near = most >= _apart(self.sketch[i], self.sketch[j])
+            i, j, most = i[near], j[near], most[near]
+            if self.fine is not None and len(i):
+                cuts = range(0, len(i), AT_ONCE)
+                near = most >= np.concatenate([_apart(self.fine[i[k : k + AT_ONCE]], self.fine[j[k : k + AT_ONCE]]) for k in cuts])
+                i, j = i[near], j[near]
             if len(i):
+                na, nb = self.n[i], self.n[j]
                 swap = self.own[i] > self.own[j]
                 i, j = np.where(swap, j, i), np.where(swap, i, j)
                 yield self.own[i], self.own[j], self.n[i], self.n[j], np.minimum(self.many[i], self.many[j]).astype(np.int64)
@@ -265,8 +286,8 @@ def _summed(held: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
     return [a[one], b[one], na[one], nb[one], np.add.reduceat(many[order], first)]
 
 
-def _across(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b, na, nb) of the pairs of one list whose labels differ and whose sizes, positions, sketches and shared entries allow a link.
+def _across(lists: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
+    """(a, b, na, nb) of the pairs of one list whose labels differ and whose sizes, positions, sketches (``fine``: id, fine) and shared entries allow a link.
 
     A task sums the entries that a pair shares in its lists before it hands
     them on. A list of more than SHARE sets is cut into shares by a hash of the
@@ -277,8 +298,8 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
         out = lambda cols: _batch("a b na nb many", (pa.int64(),) * 5, cols)
-        for cols in by_first(batches, 50_000, plain_columns):
-            for found in _Entries(cols, percent).found():
+        for *cols, bits in by_first(batches, 50_000, _with_fine):
+            for found in _Entries(cols, percent, bits).found():
                 held.append(found)
                 size += len(found[0])
                 if size > HELD:
@@ -290,13 +311,13 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
         if held:
             yield out(_summed(held))
 
-    dealt = lists.withColumn("_k", F.ceil(F.col("_size") / SHARE).cast("int")).withColumn("_own", F.pmod(F.xxhash64(F.lit(-1), "id"), F.col("_k")).cast("int"))
+    dealt = lists.join(fine, "id").withColumn("_k", F.ceil(F.col("_size") / SHARE).cast("int")).withColumn("_own", F.pmod(F.xxhash64(F.lit(-1), "id"), F.col("_k")).cast("int"))
     dealt = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
     low, high = F.least("_own", "_with"), F.greatest("_own", "_with")
     side = F.when(F.col("_own") == F.col("_with"), 2).otherwise((F.col("_own") > F.col("_with")).cast("int")).cast("int")
     dealt = dealt.withColumns({"unit": F.xxhash64("list", low, high), "side": side, "_class": F.floor(F.log("n") * 50)})
     dealt = dealt.repartition("unit").sortWithinPartitions("unit", "_class", "pos", "id")
-    pairs = dealt.select("unit", "id", "n", "pos", "label", "many", "side", *SKETCH).mapInArrow(run, "a long, b long, na long, nb long, many long")
+    pairs = dealt.select("unit", "id", "n", "pos", "label", "many", "side", *SKETCH, "fine").mapInArrow(run, "a long, b long, na long, nb long, many long")
     counted = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("many").alias("shared"))
     # of the set whose index ends first, all shared tokens up to there are in the other's index too
     outside = lambda n: F.expr(f"ceil({percent} * {n} / 100.0) - 1")
@@ -371,9 +392,9 @@ def _owners(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     holders = rows.where("id IS NOT NULL").groupBy("id").agg(least.alias("r")).select("id", F.col("r.doc_id").alias("rep"), *(f"r.{c}" for c in ("hash", *SKETCH)))
     holders = keep(holders, "holders")
 
-    def texts(pairs: DataFrame) -> DataFrame:
-        """id and text of the sets in ``pairs``; texts that no pair wants are mostly sifted out before the join, by a table of fixed size."""
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(holders.select("id", "rep", "hash"), "id")
+    def read(ids: DataFrame, name: str = "text string", make=None) -> DataFrame:
+        """id and text, or what ``make`` makes of it, of ``ids``; texts that none of them wants are mostly sifted out before the join, by a table of fixed size."""
+        wanted = ids.distinct().join(holders.select("id", "rep", "hash"), "id")
         sieve = fixed_table(wanted.select(F.pmod("hash", F.lit(BUCKETS)).alias("bucket"), F.lit(1).alias("value")), BUCKETS)
         sieve = spark.sparkContext.broadcast(sieve > 0)
 
@@ -381,17 +402,19 @@ def _owners(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
             for batch in batches:
                 hit = sieve.value[np.mod(batch.column(1).to_numpy(zero_copy_only=False), BUCKETS)]
                 if hit.any():
-                    yield batch.filter(pa.array(hit))
+                    own = batch.filter(pa.array(hit))
+                    yield own if make is None else pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(map(make, own.column(2).to_pylist()), pa.binary())], ["doc_id", "hash", name.split()[0]])
 
-        near = docs.mapInArrow(sift, "doc_id long, hash long, text string")
+        near = docs.mapInArrow(sift, f"doc_id long, hash long, {name}")
         near = near.join(wanted.select("id", "hash", F.col("rep")), "hash").where("doc_id <=> rep")
-        return near.select("id", "text").dropDuplicates(["id"])
+        return near.select("id", name.split()[0]).dropDuplicates(["id"])
 
     def compare(pairs: DataFrame) -> DataFrame:
         pairs = keep(pairs, "pairs")
         if pairs.isEmpty():  # no text need be read
             return spark.createDataFrame([], "a long, b long, na long, nb long, apart long")
-        return keep(_compared(pairs, texts(pairs), width), "compared")
+        texts = read(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
+        return keep(_compared(pairs, texts, width), "compared")
 
     def divided(label: DataFrame | None) -> DataFrame:
         """The lists that still hold several labels, with their sizes and the sets' sketches."""
@@ -419,7 +442,8 @@ def _owners(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
         if 10 * n_found < n_tried or not n_found:
             break
     kin = linked.groupBy(F.col("b").alias("id")).agg(F.min(F.struct("apart", "a")).alias("_near")).select("id", F.col("_near.a").alias("pivot"), F.col("_near.apart").alias("far"))
-    more = keep(_resolved(_across(left, percent), kin, compare, percent, keep), "links")
+    fine = keep(read(left.select("id"), "fine binary", lambda text: _fine(shingle_set(text, width))), "fine")
+    more = keep(_resolved(_across(left, fine, percent), kin, compare, percent, keep), "links")
     label = components(linked.select("a", "b").union(more)).withColumnRenamed("node", "id")
     own = holders.select("id", F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("doc_id"), "hash").alias("own"))
     # a large class in shares: its least row meets them all
