@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.codes import shingle_set
 from millrace.llm.graph import fixed_table
-from millrace.llm.shared import REMEMBERED, Scratch, by_first, documents, plain_columns, small_batches
+from millrace.llm.shared import REMEMBERED, Scratch, by_first, documents, keep_only, plain_columns, small_batches
 from millrace.operators.graph import components
 
 #: Buckets of the frequency table (4 MB) and of the table of wanted texts.
@@ -90,21 +90,31 @@ def _batch(names: str, kinds: tuple, cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names.split())
 
 
+def _repeats(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the tokens that stand in more than two sets of ``held``, with the sum of their numbers. Empties ``held`` and sorts in place: a task needs little more than its tokens twice."""
+    tokens = np.concatenate(held)
+    held.clear()
+    tokens.sort()
+    # a token that stands in n sets equals the one two places before it n - 2 times
+    often, counts = np.unique(tokens[2:][tokens[2:] == tokens[:-2]], return_counts=True)
+    bucket, at = np.unique((often % np.uint64(BUCKETS)).astype(np.int64), return_inverse=True)
+    return bucket, np.bincount(at, counts + 2, len(bucket)).astype(np.int64)
+
+
 def _sets(docs: DataFrame, width: int) -> DataFrame:
     """Per row (kind 0): doc_id, text hash, size, id and sketch of its set (null: none). Per bucket with repeats in a task (kind 1): the bucket and their number."""
     kinds = (pa.int8(),) + (pa.int64(),) * (4 + len(SKETCH))
     names = " ".join(["kind doc_id hash n id", *SKETCH])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("powers")
         held: list[np.ndarray] = []
         size, seen = 0, set()
 
         def repeats() -> pa.RecordBatch:
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts > 2
-            bucket, at = np.unique((tokens[often] % np.uint64(BUCKETS)).astype(np.int64), return_inverse=True)
+            bucket, number = _repeats(held)
             n = len(bucket)
-            return _batch(names, kinds, (np.ones(n, np.int8), bucket, np.zeros(n, np.int64), np.bincount(at, counts[often], n).astype(np.int64), *[np.zeros(n, np.int64)] * (1 + len(SKETCH))))
+            return _batch(names, kinds, (np.ones(n, np.int8), bucket, np.zeros(n, np.int64), number, *[np.zeros(n, np.int64)] * (1 + len(SKETCH))))
 
         for batch in batches:
             rows: list[tuple] = []
@@ -121,7 +131,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                 yield _batch(names, kinds, zip(*rows, strict=True))
             if size > HELD:
                 yield repeats()
-                held, size = [], 0
+                size = 0
         if held:
             yield repeats()
 
@@ -132,6 +142,7 @@ def _index(docs: DataFrame, width: int, percent: int, table) -> DataFrame:
     """(token, id, n, pos) of every set's index entries; equal sets within a task once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("powers")
         often = table.value
         seen: set[int] = set()
         for batch in batches:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from millrace.operators.tables import Scratch
 from millrace.operators.tables import written as materialize
 
-__all__ = ["REMEMBERED", "Scratch", "by_first", "documents", "least_hashes", "materialize", "per_process", "plain_columns", "small_batches"]
+__all__ = ["REMEMBERED", "Scratch", "by_first", "documents", "keep_only", "least_hashes", "materialize", "per_process", "plain_columns", "small_batches"]
 
 
 #: Equal texts or sets that a task remembers; those beyond are handed on once more and merged by the shuffle.
@@ -73,3 +73,10 @@ def per_process(key: tuple, make: Callable[[], Any]) -> Any:
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+def keep_only(*names: str) -> None:
+    """Drops what this process keeps under other names: the caches of an operator that ran before stand beside the next one's memory otherwise."""
+    kept = sys.__dict__.setdefault("_millrace_kept", {})
+    for key in [k for k in kept if k[0] not in names]:
+        del kept[key]

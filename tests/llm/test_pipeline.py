@@ -1,8 +1,13 @@
 import random
+import sys
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline
 from millrace.llm import jaccard
-from millrace.llm.shared import materialize
+from millrace.llm.shared import materialize, per_process
 from tests.llm.conftest import SF, make
 from tests.llm.test_jaccard import brute as brute_classes
 from tests.llm.test_native import measures
@@ -73,3 +78,39 @@ def test_stages_on_odd_and_empty_tables(spark, odd_rows, empty):
                 assert {r.doc_id: r.text.split()[0] for r in docs.collect()}[22] == "own0" and all(r.lang == "x" for r in docs.collect())
         if some:
             assert {r.doc_id for r in docs.collect()} >= {20, 22}
+
+
+def test_repeats_of_a_task_are_counted_in_little_more_than_its_tokens_twice():
+    rng = np.random.default_rng(3)
+    held = [np.unique(rng.integers(0, 400_000, 20_000, dtype=np.uint64) << np.uint64(30)) for _ in range(40)] + [np.array([5, 2**64 - 1], np.uint64)] * 3
+    tokens, counts = np.unique(np.concatenate(held), return_counts=True)
+    want = np.zeros(jaccard.BUCKETS, np.int64)
+    np.add.at(want, (tokens[counts > 2] % np.uint64(jaccard.BUCKETS)).astype(np.int64), counts[counts > 2])
+    size = sum(x.nbytes for x in held)
+    tracemalloc.start()
+    bucket, number = jaccard._repeats(held)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = np.zeros(jaccard.BUCKETS, np.int64)
+    got[bucket] = number
+    assert (got == want).all() and len(set(bucket.tolist())) == len(bucket) and not held
+    assert peak < 3 * size
+    for few in ([np.zeros(0, np.uint64)], [np.array([1], np.uint64)], [np.array([1], np.uint64)] * 2):
+        assert [len(x) for x in jaccard._repeats(few)] == [0, 0]
+
+
+def test_near_duplicates_free_what_packing_keeps_in_the_workers(spark):
+    def fill(batches):
+        for batch in batches:
+            per_process(("word ids", "of a test"), lambda: ["kept"])
+            yield batch
+
+    def kept(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [sum(k[0] == "word ids" for k in sys.__dict__.get("_millrace_kept", {}))]})
+
+    rows = spark.range(64).repartition(16)
+    assert rows.mapInArrow(fill, "id long").count() == 64
+    docs = make(spark, [(i, f"a text of its own number {i} and {i * i}") for i in range(64)]).repartition(16)
+    assert jaccard.one_of_each(docs).count() == 64
+    assert {r.n for r in rows.mapInArrow(kept, "n long").collect()} == {0}
