@@ -91,10 +91,10 @@ def merge_claims(rows: DataFrame, document: str, window: str, position: str, row
 
 
 def merge_pages(values: DataFrame, document: str, page: str, field: str, value: str, declarations: str, policy_fields: tuple[str, ...] = ()) -> DataFrame:
-    """document, field, value, page, differ of plain values read page by page: the first in page order, but of ``policy_fields`` the one on the declarations page; ``differ``: whether pages disagree. ``page`` may be a struct; where two values could have equal pages, it must hold what orders them, or either may be taken."""
+    """document, field, value, page, differ of plain values read page by page: the first in page order, but of ``policy_fields`` the one on the declarations page; ``differ``: whether pages disagree. ``page`` may be a struct; where two values could have equal pages, it must hold what orders them, or either may be taken. Values without a page count for ``differ`` alone; documents without values are not in the result."""
     stated = values.where(F.col(value).isNotNull())
     first = F.col(field).isin(*policy_fields) & (F.col(page) == F.col(declarations)) if policy_fields else F.lit(False)
-    order = F.struct((~F.coalesce(first, F.lit(False))).alias("o"), F.col(page).alias("p"))
+    order = F.when(F.col(page).isNotNull(), F.struct((~F.coalesce(first, F.lit(False))).alias("o"), F.col(page).alias("p")))
     return stated.groupBy(document, field).agg(F.min_by(value, order).alias("value"), F.min_by(page, order).alias("page"), (F.count_distinct(value) > 1).alias("differ"))
 
 
