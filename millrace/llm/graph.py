@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.tables import freed
+
 
 def fixed_table(rows: DataFrame, size: int, chunks: int = 64) -> np.ndarray:
     """Sums of ``value`` by ``bucket`` (0 to size - 1) as one array of unsigned 32-bit numbers, capped at their range.
@@ -23,6 +25,8 @@ def fixed_table(rows: DataFrame, size: int, chunks: int = 64) -> np.ndarray:
         return pa.table({"chunk": table["chunk"][:1].cast(pa.int32()), "data": pa.array([out.tobytes()], pa.binary())})
 
     found = np.zeros((chunks, width), dtype=np.uint32)
-    for r in summed.groupBy("chunk").applyInArrow(fill, "chunk int, data binary").collect():
+    with freed(rows.sparkSession):
+        chunks_of = summed.groupBy("chunk").applyInArrow(fill, "chunk int, data binary").collect()
+    for r in chunks_of:
         found[r.chunk] = np.frombuffer(r.data, np.uint32)
     return found.ravel()
