@@ -37,6 +37,7 @@ from millrace.llm.codes import shingle_set
 from millrace.llm.graph import fixed_table
 from millrace.llm.shared import REMEMBERED, Scratch, by_first, documents, keep_only, plain_columns, small_batches
 from millrace.operators.graph import components
+from millrace.operators.tables import discard
 
 #: Buckets of the frequency table (4 MB) and of the table of wanted texts.
 BUCKETS = 1 << 20
@@ -425,7 +426,9 @@ def _owners(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
         if pairs.isEmpty():  # no text need be read
             return spark.createDataFrame([], "a long, b long, na long, nb long, apart long")
         texts = read(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
-        return keep(_compared(pairs, texts, width), "compared")
+        found = keep(_compared(pairs, texts, width), "compared")
+        discard(pairs)
+        return found
 
     def divided(label: DataFrame | None) -> DataFrame:
         """The lists that still hold several labels, with their sizes and the sets' sketches."""
@@ -436,7 +439,10 @@ def _owners(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
             named = named.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
         sizes = named.groupBy("list").agg(F.count("*").alias("_size"), F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select("list", "_size")
         # the sizes are written first: so a list of very many sets is split over tasks
-        return keep(named.join(keep(sizes, "sizes"), "list"), "divided")
+        sizes = keep(sizes, "sizes")
+        found = keep(named.join(sizes, "list"), "divided")
+        discard(sizes)
+        return found
 
     linked = seen = None
     left = divided(None)
@@ -449,7 +455,8 @@ def _owners(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
         seen = found if seen is None else seen.union(found)
         linked = seen.where(_links(F.col("apart"), percent))
         if n_found:
-            left = divided(components(linked.select("a", "b")))
+            before, left = left, divided(components(linked.select("a", "b")))
+            discard(before)
         if 10 * n_found < n_tried or not n_found:
             break
     kin = linked.groupBy(F.col("b").alias("id")).agg(F.min(F.struct("apart", "a")).alias("_near")).select("id", F.col("_near.a").alias("pivot"), F.col("_near.apart").alias("far"))
