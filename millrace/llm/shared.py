@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from millrace.operators.tables import Scratch
 from millrace.operators.tables import written as materialize
 
-__all__ = ["REMEMBERED", "Scratch", "by_first", "documents", "keep_only", "least_hashes", "materialize", "per_process", "plain_columns", "small_batches"]
+__all__ = ["REMEMBERED", "Scratch", "by_first", "documents", "give_back", "keep_only", "least_hashes", "materialize", "per_process", "plain_columns", "small_batches"]
 
 
 #: Equal texts or sets that a task remembers; those beyond are handed on once more and merged by the shuffle.
@@ -80,3 +82,10 @@ def keep_only(*names: str) -> None:
     kept = sys.__dict__.setdefault("_millrace_kept", {})
     for key in [k for k in kept if k[0] not in names]:
         del kept[key]
+
+
+def give_back() -> None:
+    """Returns to the system what this process has freed; Arrow's and C's allocators keep much of it otherwise, and the worker outlives its task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import documents, materialize, small_batches
+from millrace.llm.shared import documents, give_back, keep_only, materialize, small_batches
 from millrace.llm.wordids import default_path, word_ids
 
 MAGIC = b"MRWM0002"
@@ -68,10 +68,6 @@ class Plane:
     def total(self) -> int:
         return int(self.before[-1])
 
-    def bits(self) -> np.ndarray:
-        whole = np.concatenate([self.chunk(k) for k in range(len(self.ends))])
-        return np.unpackbits(whole, count=self.n, bitorder="little").astype(bool)
-
     def bit(self, at: int) -> int:
         k, inside = divmod(at, CHUNK)
         return int(self.chunk(k)[inside >> 3]) >> (inside & 7) & 1
@@ -90,6 +86,20 @@ class Plane:
         count += int(np.bitwise_count(chunk[start : start + whole]).sum())
         return count + (int(chunk[start + whole] & ((1 << odd) - 1)).bit_count() if odd else 0)
 
+    def ones_at(self, at: np.ndarray) -> np.ndarray:
+        """1 bits before each position; opens their chunks only."""
+        k, inside = np.divmod(at, CHUNK)
+        count = self.before.astype(np.int64)[k]
+        if len(some := np.flatnonzero(inside)):
+            block, rest = np.divmod(inside[some], BLOCK)
+            count[some] += self.ranks[k[some] * (CHUNK // BLOCK) + block]
+            chunks, which = np.unique(k[some], return_inverse=True)
+            words = np.concatenate([self.chunk(int(c)) for c in chunks]).view("<u8").reshape(len(chunks), CHUNK // BLOCK, BLOCK // 64)[which, block]
+            cut = 64 - np.clip(rest[:, None] - np.arange(0, BLOCK, 64), 0, 64)
+            full = np.where(cut < 64, np.uint64(2**64 - 1) >> np.minimum(cut, 63).astype(np.uint64), np.uint64(0))
+            count[some] += np.bitwise_count(words & full).sum(axis=1, dtype=np.int64)
+        return count
+
     def select(self, bit: int, k: int) -> int:
         """Position of the k-th bit of that kind, from 0: chunk and block by binary search, then within the block."""
         chunks = np.arange(len(self.ends) + 1, dtype=np.int64) * CHUNK
@@ -103,6 +113,23 @@ class Plane:
         return c * CHUNK + b * BLOCK + int(np.flatnonzero(inside)[k - int(blocks[b])])
 
 
+def word_of(depth: int) -> type:
+    """The narrower type that holds symbols of so many bits."""
+    return np.uint16 if depth <= 16 else np.uint32
+
+
+def parted(x: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """Symbols with bit 0, then those with bit 1. Positions are found and taken chunk by chunk: faster than x[~bit], and never an index of the whole shard in memory."""
+    out = np.empty_like(x)
+    lo, hi = 0, len(x) - int(np.count_nonzero(bit))
+    for at in range(0, len(x), CHUNK):
+        own, b = x[at : at + CHUNK], bit[at : at + CHUNK]
+        down, ups = np.flatnonzero(~b), np.flatnonzero(b)
+        out[lo : lo + len(down)], out[hi : hi + len(ups)] = own.take(down), own.take(ups)
+        lo, hi = lo + len(down), hi + len(ups)
+    return out
+
+
 class WaveletMatrix:
     """Bit-planes from the highest bit down. Below a plane, symbols with bit 0 come before those with bit 1, each in their order. An empty sequence has planes without bits."""
 
@@ -114,23 +141,29 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         x = np.asarray(ids, dtype=np.uint32)
         depth = max(1, int(x.max()).bit_length()) if len(x) else 1
+        x = x.astype(word_of(depth), copy=False)
         planes = []
         for level in range(depth - 1, -1, -1):
-            bit = ((x >> np.uint32(level)) & np.uint32(1)).astype(bool)
+            bit = (x & x.dtype.type(1 << level)).astype(bool)
             planes.append(Plane.of(bit))
-            x = np.concatenate([x[~bit], x[bit]])
+            if level:
+                x = parted(x, bit)
         return cls(len(ids), planes)
 
     def decode(self) -> np.ndarray:
         """The whole sequence, undoing the partitions from the lowest plane up."""
-        x = np.zeros(self.n, dtype=np.uint32)
+        x = np.zeros(self.n, dtype=word_of(self.depth))
         for level in range(self.depth - 1, -1, -1):
-            bit = self.planes[level].bits()
-            up = np.empty_like(x)
-            up[~bit] = x[: self.zeros[level]]
-            up[bit] = x[self.zeros[level] :] | np.uint32(1 << (self.depth - 1 - level))
+            plane, up, one = self.planes[level], np.empty_like(x), x.dtype.type(1 << (self.depth - 1 - level))
+            lo, hi = 0, self.zeros[level]
+            for k, at in enumerate(range(0, self.n, CHUNK)):
+                own = up[at : at + CHUNK]
+                bit = np.unpackbits(plane.chunk(k), count=len(own), bitorder="little").view(bool)
+                down, ups = np.flatnonzero(~bit), np.flatnonzero(bit)
+                own[down], own[ups] = x[lo : lo + len(down)], x[hi : hi + len(ups)] | one
+                lo, hi = lo + len(down), hi + len(ups)
             x = up
-        return x
+        return x.astype(np.uint32, copy=False)
 
     def access(self, at: int) -> int:
         if not 0 <= at < self.n:
@@ -164,13 +197,12 @@ class WaveletMatrix:
         return self.rank(value, self.n)
 
     def first_counts(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """How often the symbol at each start occurs from there up to each end: an access and two ranks, level by level for all at once."""
-        at, lo, hi = starts.astype(np.int64), starts.astype(np.int64), ends.astype(np.int64)
+        """How often the symbol at each start occurs from there up to each end: an access and two ranks, level by level for all at once, from the rank directory."""
+        lo, hi = starts.astype(np.int64), ends.astype(np.int64)
         for plane, zeros in zip(self.planes, self.zeros, strict=True):
-            bits = plane.bits()
-            ones = np.concatenate([[0], np.cumsum(bits, dtype=np.int64)])
-            up = bits[at]
-            at, lo, hi = (np.where(up, zeros + ones[x], x - ones[x]) for x in (at, lo, hi))
+            a, b, after = np.split(plane.ones_at(np.concatenate([lo, hi, lo + 1])), 3)
+            up = after > a
+            lo, hi = np.where(up, zeros + a, lo - a), np.where(up, zeros + b, hi - b)
         return hi - lo
 
     def select(self, value: int, k: int) -> int:
@@ -237,29 +269,33 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, shard_text_bytes:
     docs = docs.repartitionByRange(max(1, math.ceil(total / shard_text_bytes)), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = word_ids(tokenizer), struct.pack("<I", end_id)
+        words = word_ids(tokenizer)
         part, seq = TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
         lengths: list[int] = []
-        kept: list[bytes] = []
+        kept: list[np.ndarray] = []
         held = 0
 
         def shard() -> pa.RecordBatch:
-            data = shard_bytes(ids, lengths, np.frombuffer(b"".join(kept), "<u4"))
+            data = shard_bytes(ids, lengths, np.concatenate(kept))
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([held], pa.int64()), pa.array([data], pa.binary())], ["part", "seq", "n_docs", "n_tokens", "data"])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = words.ids(text) + end
+            if not batch.num_rows:
+                continue
+            flat, sizes = words.column(batch.column(1), end_id)
+            for doc, n, own in zip(batch.column(0).to_pylist(), sizes.tolist(), np.split(flat, np.cumsum(sizes)[:-1]), strict=True):
                 ids.append(doc)
-                lengths.append(len(own) // 4)
+                lengths.append(n)
                 kept.append(own)
-                held += len(own) // 4
+                held += n
                 if held >= shard_tokens:
                     yield shard()
                     seq, ids, lengths, kept, held = seq + 1, [], [], [], 0
         if ids:
             yield shard()
+        ids, lengths, kept = [], [], []
+        give_back()
 
     return materialize(docs.mapInArrow(encode, BLOB), "wavelet", "uncompressed")
 
@@ -272,6 +308,8 @@ def read_back(files: DataFrame) -> DataFrame:
     """
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()  # the words of the workers that have encoded
+        give_back()
         for batch in batches:
             for part, seq, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 docs, lengths, matrix = read_shard(data.as_py())

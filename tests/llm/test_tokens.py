@@ -5,13 +5,14 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm import bpe, packing, wavelet
+from millrace.llm import bpe, packing, wavelet, wordids
 from millrace.llm.wordids import default_path, word_ids
 from tests.llm.conftest import SF
 
@@ -44,6 +45,30 @@ def test_encoders_equal_the_library_on_any_text(text):
     assert decoded == library.decode(want, skip_special_tokens=False) == bpe.codec(default_path()).decode(got)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(ODD | st.none(), max_size=8), st.integers(1, 5))
+def test_ids_of_a_column_equal_those_of_its_texts(texts, gathered):
+    words = word_ids(default_path())
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(wordids, "GATHERED", gathered)
+        for kind in (pa.string(), pa.large_string()):
+            flat, sizes = words.column(pa.array([*texts, "cut off"], kind).slice(0, len(texts)), 2)
+            own = [words.ids(x) + raw([2]) for x in texts]
+            assert flat.tobytes() == b"".join(own) and sizes.tolist() == [len(x) // 4 for x in own]
+
+
+def test_a_column_takes_each_distinct_word_once_where_caches_are_full(monkeypatch):
+    monkeypatch.setattr(wordids, "WORDS", 0)
+    monkeypatch.setattr(wordids, "STEMS", 0)
+    words, asked = wordids.WordIds(default_path()), []
+    stem = words.stem
+    monkeypatch.setattr(words, "stem", lambda word: asked.append(word) or stem(word))
+    flat, sizes = words.column(pa.array(["(Unseen) unseenly, it's", None, "unseenly,\n(Unseen)", "", "unseenly,"] * 50), 2)
+    assert sorted(asked) == sorted(["(", "unseen", ")", "unseenly", ","]) and not words
+    assert flat.tobytes() == (words.ids("(Unseen) unseenly, it's") + raw([2, 2]) + words.ids("unseenly,\n(Unseen)") + raw([2, 2]) + words.ids("unseenly,") + raw([2])) * 50
+    assert sizes.sum() == len(flat)
+
+
 def test_dynamic_programming_on_words_of_few_letters(library):
     rng, coder = random.Random(9), bpe.codec(default_path())
     for _ in range(3000):
@@ -83,6 +108,25 @@ def test_wavelet_queries_open_only_their_chunks():
     assert len(data) < 4 * len(ids)
 
 
+def test_first_counts_open_only_their_chunks():
+    ids = np.random.default_rng(8).integers(0, 50_000, 6 * wavelet.CHUNK) % 90
+    matrix = wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(ids).to_bytes())
+    starts, ends = np.array([0, 5, 700, 700]), np.array([1, 600, 700, 1500])
+    assert matrix.first_counts(starts, ends).tolist() == [int((ids[a:b] == ids[a]).sum()) for a, b in zip(starts, ends)]
+    assert all(len(p.open) < len(p.ends) for p in matrix.planes[:2]) and len(matrix.planes[0].open) == 1
+    starts = np.array([0, 3 * wavelet.CHUNK, len(ids) - 1, len(ids) - wavelet.CHUNK])
+    assert matrix.first_counts(starts, np.full(4, len(ids))).tolist() == [int((ids[a:] == ids[a]).sum()) for a in starts]
+
+
+@pytest.mark.parametrize("high", [1, 2, 1 << 16, (1 << 16) + 1, 1 << 20, 1 << 32])
+def test_wavelet_matrix_of_narrow_and_wide_symbols(high):
+    ids = np.random.default_rng(high % 97).integers(0, high, 3000)
+    ids[-1] = high - 1
+    matrix = wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(ids).to_bytes())
+    assert matrix.depth == max(1, (high - 1).bit_length())
+    assert (matrix.decode() == ids).all() and matrix.access(2999) == high - 1 and matrix.count(high - 1) == (ids == high - 1).sum()
+
+
 def brute_tokens(library, rows):
     out, start = [], 0
     for doc, text in rows:
