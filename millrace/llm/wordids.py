@@ -24,8 +24,8 @@ PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\
 MARKS, LETTERS = "".join(c for c in map(chr, range(33, 127)) if c != "'" and not c.isalnum()), re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]*")
 #: Entries the caches hold at most; words beyond that are encoded each time.
 WORDS, STEMS = 400_000, 700_000
-#: Words whose ids are gathered at once.
-GATHERED = 1 << 16
+#: Ids that are gathered at once, besides those of a last word.
+GATHERED = 1 << 17
 
 
 def byte_symbols() -> list[str]:
@@ -90,12 +90,11 @@ class WordIds(dict):
         sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
         flat, starts = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes, dtype=np.int64) - sizes
         order = np.insert(words.indices.to_numpy(zero_copy_only=False), ends, len(found) - 1)
-        ids = []
-        for at in range(0, len(order), GATHERED):
-            own = order[at : at + GATHERED]
-            n = sizes[own].astype(np.int64)
-            ids.append(flat[np.repeat(starts[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
         upto = np.concatenate([[0], np.cumsum(sizes[order], dtype=np.int64)])
+        cuts, ids = [*np.unique(np.searchsorted(upto, np.arange(0, upto[-1], GATHERED))).tolist(), len(order)], []
+        for a, b in zip(cuts, cuts[1:]):
+            own = order[a:b]
+            ids.append(flat[np.repeat(starts[own] - upto[a:b], sizes[own]) + np.arange(upto[a], upto[b])])
         return np.concatenate([*ids, flat[:0]]), np.diff(upto[ends + np.arange(1, len(ends) + 1)], prepend=0)
 
 
